@@ -45,14 +45,17 @@ def last_success(runs: DataFrame) -> DataFrame:
     return runs.agg(F.max(done).alias("last_success"))
 
 
+def catchup_columns(now: Column, days: int = CATCH_UP_DAYS) -> tuple[Column, Column]:
+    """(age of ``last_success`` in whole seconds, whether a catch-up is due)."""
+    last = F.col("last_success")
+    age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(last.cast("timestamp"))
+    return age, last.isNull() | (age > days * 86_400)
+
+
 def catchup_due(runs: DataFrame, now: Column, days: int = CATCH_UP_DAYS) -> DataFrame:
-    """One row: age of the last success in seconds, and whether a catch-up is due."""
-    age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("last_success").cast("timestamp"))
-    return last_success(runs).select(
-        "last_success",
-        age.alias("age_seconds"),
-        (F.col("last_success").isNull() | (age > days * 86_400)).alias("due"),
-    )
+    """One row: start of the last success, its age, and whether a catch-up is due."""
+    age, due = catchup_columns(now, days)
+    return last_success(runs).select("last_success", age.alias("age_seconds"), due.alias("due"))
 
 
 def stamp_quarantine(bad: DataFrame, batch_id: str, at: dt.datetime) -> DataFrame:

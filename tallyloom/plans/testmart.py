@@ -154,6 +154,7 @@ class Mart:
         self.city_maps = city_maps(spark, sf_dir)
         self.catalogs = catalogs(spark, sf_dir)
         self._loaded: Warehouse | None = None
+        self._tables: dict[str, DataFrame] | None = None
 
     @property
     def feeds(self) -> list[Feed]:
@@ -175,7 +176,9 @@ class Mart:
 
     @property
     def tables(self) -> dict[str, DataFrame]:
-        return self.warehouse.tables()
+        if self._tables is None:
+            self._tables = self.warehouse.tables()
+        return self._tables
 
 
 _MARTS: dict[tuple[str, str], Mart] = {}

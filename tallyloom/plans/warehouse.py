@@ -48,32 +48,21 @@ class Warehouse:
     def path(self, table: str, batch_id: str) -> str:
         return f"{self.root}/{table}/batch_id={batch_id}"
 
-    def dim_company(self) -> DataFrame:
-        return dim_company(self.spark, self.companies)
-
-    def dim_date(self) -> DataFrame:
-        return dim_date(self.spark, *self.calendar)
-
-    def dim_customer(self) -> DataFrame:
-        return self._snapshot("dim_customer")
-
-    def dim_product(self) -> DataFrame:
-        return self._snapshot("dim_product")
-
-    def fact_sales(self) -> DataFrame:
-        return self._batches("fact_sales", self.succeeded())
+    def tables(self) -> dict[str, DataFrame]:
+        """The star schema as of the batches that have succeeded by now."""
+        batches = self.succeeded()
+        return {
+            "dim_company": dim_company(self.spark, self.companies),
+            "dim_date": dim_date(self.spark, *self.calendar),
+            "dim_customer": self._snapshot("dim_customer", batches),
+            "dim_product": self._snapshot("dim_product", batches),
+            "fact_sales": self._batches("fact_sales", batches),
+        }
 
     def errors(self) -> DataFrame:
         """Quarantine rows of every batch, failed ones included."""
         return self._batches("etl_errors", [r.batch_id for r in self.runs().select("batch_id").collect()])
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "dim_company": self.dim_company(), "dim_date": self.dim_date(),
-            "dim_customer": self.dim_customer(), "dim_product": self.dim_product(),
-            "fact_sales": self.fact_sales(),
-        }
-
     def write(self, df: DataFrame, table: str, batch_id: str) -> None:
         df.select(*{**SNAPSHOTS, **APPENDED}[table].names).write.mode("overwrite").parquet(
             self.path(table, batch_id)
@@ -84,8 +73,8 @@ class Warehouse:
         schema = {**SNAPSHOTS, **APPENDED}[table]
         return self.spark.read.schema(schema).parquet(self.path(table, batch_id))
 
-    def _snapshot(self, table: str) -> DataFrame:
-        for batch_id in reversed(self.succeeded()):
+    def _snapshot(self, table: str, batches: list[str]) -> DataFrame:
+        for batch_id in reversed(batches):
             found = self._existing(self.path(table, batch_id), SNAPSHOTS[table])
             if found is not None:
                 return found
