@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.facts import orphans
+from tallyloom.runtime import literal_rows, materialize
 
 AMOUNT = "total_amount_syp"
+TOLERANCE = 0.01
 
 
 def _result(df: DataFrame, name: str, passed: Column, measured: Column) -> DataFrame:
@@ -20,38 +22,57 @@ def _zero_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def _totals_match(fact: DataFrame, joined: DataFrame, name: str) -> DataFrame:
-    raw = fact.agg(F.sum(AMOUNT).alias("_raw"))
-    found = joined.agg(F.sum("_sales").alias("_found"))
-    return _result(raw.crossJoin(found), name, F.col("_raw").eqNullSafe(F.col("_found")),
+def fact_profile(fact: DataFrame) -> DataFrame:
+    """Facts combined per day and company: amount, rows, and rows whose total is not
+    quantity * price. One scan serves every check of the facts."""
+    gap = F.abs(F.col(AMOUNT) - F.col("quantity") * F.col("unit_price_syp"))
+    return fact.groupBy("date_sk", "company_sk").agg(
+        F.sum(AMOUNT).alias("_sales"), F.count(F.lit(1)).alias("_n"),
+        F.count_if(gap > F.lit(TOLERANCE).cast("decimal(10,4)")).alias("_off"),
+    )
+
+
+def _matched(profile: DataFrame, dims: dict[str, DataFrame], name: str) -> DataFrame:
+    """Does the total over joined rows equal the total over all rows?"""
+    found = F.lit(True)
+    for key, dim in dims.items():
+        flag = f"_has_{key}"
+        profile = profile.join(dim.select(key).withColumn(flag, F.lit(True)), key, "left")
+        found &= F.coalesce(F.col(flag), F.lit(False))
+    sums = profile.agg(F.sum("_sales").alias("_raw"), F.sum(F.when(found, F.col("_sales"))).alias("_found"))
+    return _result(sums, name, F.col("_raw").eqNullSafe(F.col("_found")),
                    _zero_if_null("_raw") - _zero_if_null("_found"))
 
 
+def _resolved(profile: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    missing = orphans(profile, dim, key).agg(F.sum("_n").alias("_n"))
+    return _result(missing, f"{key}_resolves", _zero_if_null("_n") == 0, _zero_if_null("_n"))
+
+
+def _consistent(profile: DataFrame) -> DataFrame:
+    off = profile.agg(F.sum("_off").alias("_off"))
+    return _result(off, "total_is_quantity_times_price", _zero_if_null("_off") == 0, _zero_if_null("_off"))
+
+
 def totals_by_company(fact: DataFrame, dim_company: DataFrame) -> DataFrame:
     """Per-company totals add up to the raw total; measured is the difference."""
-    sums = fact.groupBy("company_sk").agg(F.sum(AMOUNT).alias("_sales"))
-    return _totals_match(fact, sums.join(dim_company, "company_sk"), "totals_by_company")
+    return _matched(fact_profile(fact), {"company_sk": dim_company}, "totals_by_company")
 
 
 def totals_by_month(fact: DataFrame, dim_date: DataFrame, dim_company: DataFrame) -> DataFrame:
     """Monthly totals add up to the raw total; fails if the calendar lacks a date."""
-    sums = fact.groupBy("date_sk", "company_sk").agg(F.sum(AMOUNT).alias("_sales"))
-    joined = sums.join(dim_date, "date_sk").join(dim_company, "company_sk")
-    return _totals_match(fact, joined, "totals_by_month")
+    dims = {"date_sk": dim_date, "company_sk": dim_company}
+    return _matched(fact_profile(fact), dims, "totals_by_month")
 
 
 def no_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Every fact key has a dimension row; measured is the number of facts without."""
-    counted = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    missing = orphans(counted, dim, key).agg(F.sum("_n").alias("_n"))
-    return _result(missing, f"{key}_resolves", _zero_if_null("_n") == 0, _zero_if_null("_n"))
+    return _resolved(fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), dim, key)
 
 
-def total_consistent(fact: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """Total within ``tolerance`` of quantity * unit price; measured counts the others."""
-    gap = F.abs(F.col(AMOUNT) - F.col("quantity") * F.col("unit_price_syp"))
-    off = fact.agg(F.count_if(gap > F.lit(tolerance).cast("decimal(10,4)")).alias("_n"))
-    return _result(off, "total_is_quantity_times_price", F.col("_n") == 0, F.col("_n"))
+def total_consistent(fact: DataFrame) -> DataFrame:
+    """Total within 0.01 of quantity * unit price; measured counts the others."""
+    return _consistent(fact_profile(fact))
 
 
 def row_count_is(df: DataFrame, name: str, n: int) -> DataFrame:
@@ -66,15 +87,17 @@ def row_count_at_least(df: DataFrame, name: str, n: int) -> DataFrame:
 
 def run_checks(tables: dict[str, DataFrame], companies: int = 2, min_days: int = 1825) -> DataFrame:
     """All checks as (check, passed, measured)."""
-    fact = tables["fact_sales"]
+    # no longer than days times companies
+    profile = materialize(fact_profile(tables["fact_sales"]), "fact-profile")
+    dates, companies_table = tables["dim_date"], tables["dim_company"]
     parts = [
-        totals_by_company(fact, tables["dim_company"]),
-        totals_by_month(fact, tables["dim_date"], tables["dim_company"]),
-        no_orphans(fact, tables["dim_date"], "date_sk"),
-        no_orphans(fact, tables["dim_company"], "company_sk"),
-        total_consistent(fact),
-        row_count_is(tables["dim_company"], "dim_company_rows", companies),
-        row_count_at_least(tables["dim_date"], "dim_date_rows", min_days),
+        _matched(profile, {"company_sk": companies_table}, "totals_by_company"),
+        _matched(profile, {"date_sk": dates, "company_sk": companies_table}, "totals_by_month"),
+        _resolved(profile, dates, "date_sk"),
+        _resolved(profile, companies_table, "company_sk"),
+        _consistent(profile),
+        row_count_is(companies_table, "dim_company_rows", companies),
+        row_count_at_least(dates, "dim_date_rows", min_days),
     ]
     result = parts[0]
     for part in parts[1:]:
@@ -85,6 +108,10 @@ def run_checks(tables: dict[str, DataFrame], companies: int = 2, min_days: int =
 # -- contract profile ----------------------------------------------------
 ARABIC = "[\\u0600-\\u06FF]"
 NOT_ASCII = "[^\\x00-\\x7F]"
+PROFILE = T.StructType([
+    T.StructField("dimension", T.StringType()), T.StructField("observed", T.StringType()),
+    T.StructField("rate", T.DoubleType()),
+])
 
 
 def _type_name(df: DataFrame | None, column: str) -> str:
@@ -108,9 +135,7 @@ def contract_profile(tables: dict[str, DataFrame], spec, city_table: str) -> Dat
         ("total_column", _type_name(tables.get(orders.table), orders.total or "")),
         ("date_shape", _type_name(tables.get(orders.table), orders.date)),
     ]
-    fixed = spark.createDataFrame(
-        [(n, v, None) for n, v in schema_part], "dimension STRING, observed STRING, rate DOUBLE"
-    )
+    fixed = literal_rows(spark, [(n, v, None) for n, v in schema_part], PROFILE)
     phones = F.regexp_replace(customers.phone, r"(?U)\s+", "").rlike(customers.phone_rule.pattern)
     people = tables[customers.table].agg(_share(phones).alias("phone_format"))
     name = F.col(products.name)

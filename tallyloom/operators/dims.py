@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import ROWS_PER_RANGE, global_row_number
-from tallyloom.runtime import materialize
+from tallyloom.runtime import literal_rows, materialize
 from tallyloom.schemas import DIM_COMPANY
 
 
@@ -19,7 +19,7 @@ def dim_company(spark: SparkSession, companies: Sequence[tuple[str, str, str]],
     """Fixed (code, local name, English name) rows with keys 1, 2, ...; codes that
     ``current`` holds stay as they are, new ones get the next keys."""
     rows = [(i, *company) for i, company in enumerate(companies, start=1)]
-    new = spark.createDataFrame(rows, DIM_COMPANY)
+    new = literal_rows(spark, rows, DIM_COMPANY)
     if current is None:
         return new
     fresh = new.join(current, "company_code", "left_anti")

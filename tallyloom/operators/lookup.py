@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HEAVY_SHARE = 0.001  # a key with more than this share of the rows is heavy
 PART_SHARE = 0.0001  # and is divided into parts of about this share
@@ -42,19 +43,21 @@ def salted_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     Spark finds ``right`` below its broadcast threshold it broadcasts it, and nothing
     of ``left`` is shuffled.
     """
-    parts = F.lit(1)
-    salted, lookup = left, right.withColumn("_right_salt", F.lit(0))
+    # a null would meet all other nulls in one task; its stand-in only has to be spread
+    stand_in = F.concat(F.lit("null-"), F.pmod(F.col(POSITION), F.lit(NULL_PARTS)).cast("string"))
+    left = left.withColumn("_key", F.coalesce(F.col(left_key).cast("string"), stand_in))
+    on = (F.col("_key") == F.col(right_key).cast("string")) & F.col(left_key).isNotNull()
     if heavy:
-        dtype = left.schema[left_key].dataType.simpleString()
+        schema = T.StructType([T.StructField("_heavy", left.schema[left_key].dataType),
+                               T.StructField("_parts", T.IntegerType())])
         # at most 1 / HEAVY_SHARE rows
-        table = F.broadcast(left.sparkSession.createDataFrame(
-            list(heavy.items()), f"_heavy {dtype}, _parts INT"))
-        salted = left.join(table, F.col(left_key) == F.col("_heavy"), "left").drop("_heavy")
+        table = F.broadcast(left.sparkSession.createDataFrame(list(heavy.items()), schema))
         parts = F.coalesce("_parts", F.lit(1))
-        lookup = right.join(table, F.col(right_key) == F.col("_heavy"), "left").withColumn(
-            "_right_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        left = left.join(table, F.col(left_key) == F.col("_heavy"), "left").withColumn(
+            "_salt", F.pmod(F.col(POSITION), parts).cast("int")
         ).drop("_heavy", "_parts")
-    salt = F.pmod(F.col(POSITION), F.when(F.col(left_key).isNull(), NULL_PARTS).otherwise(parts))
-    salted = salted.withColumn("_salt", salt.cast("int")).drop("_parts")
-    on = (F.col(left_key) == F.col(right_key)) & (F.col("_salt") == F.col("_right_salt"))
-    return salted.join(lookup, on, "left").drop("_salt", "_right_salt", right_key)
+        right = right.join(table, F.col(right_key) == F.col("_heavy"), "left").withColumn(
+            "_right_salt", F.explode(F.sequence(F.lit(0), parts - 1))
+        ).drop("_heavy", "_parts")
+        on &= F.col("_salt") == F.col("_right_salt")
+    return left.join(right, on, "left").drop("_key", "_salt", "_right_salt", right_key)

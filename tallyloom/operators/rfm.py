@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import map_value
@@ -37,7 +38,9 @@ def rfm_raw(fact: DataFrame, dim_customer: DataFrame, dim_company: DataFrame,
         F.count(F.lit(1)).alias("frequency"),
         F.sum("total_amount_syp").alias("monetary_syp"),
     ).join(dim_date.select("date_sk", "full_date"), "date_sk")
-    as_of = per_customer.agg(F.max("full_date").alias("as_of"))
+    # a scan of the date column alone; combined it is no longer than the calendar
+    as_of = fact.select("date_sk").distinct().join(dim_date, "date_sk").agg(
+        F.max("full_date").alias("as_of"))
     return (
         per_customer
         .join(dim_customer.select("customer_sk", "full_name", "city", "source_system"), "customer_sk")
@@ -111,10 +114,10 @@ def segment_customers(raw: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> D
 def segment_summary(segmented: DataFrame) -> DataFrame:
     """Customers per segment, share in percent (one decimal) and local label."""
     counts = segmented.groupBy("segment").agg(F.count(F.lit(1)).alias("count"))
-    total = counts.agg(F.sum("count").alias("_total"))
-    return counts.crossJoin(total).select(
+    total = F.sum("count").over(W.partitionBy())  # one row per segment
+    return counts.select(
         "segment", "count",
-        F.round(F.col("count") / F.col("_total") * 100, 1).alias("pct"),
+        F.round(F.col("count") / total * 100, 1).alias("pct"),
         map_value(F.col("segment"), SEGMENT_LABELS).alias("segment_ar"),
     )
 

@@ -177,7 +177,7 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
         orders = [x[f.spec.orders.table] for f, x in zip(feeds, extracts)]
         sales = stage(conform_orders(feeds, orders, tables), "sales")
         new = insert_absent(tables["fact_sales"], conform.good_sales(sales),
-                            schemas.FACT_KEY, schemas.FACT_ORDER)
+                            schemas.FACT_KEY, schemas.FACT_ORDER, sales.count())
         new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(result.batch_id)})
         if not dry_run:
             warehouse.write(new, "fact_sales", result.batch_id)

@@ -24,7 +24,7 @@ from tallyloom.plans import reports
 from tallyloom.plans.batch import batch_counts, resolve_since, run_batch
 from tallyloom.plans.testmart import CODE_A, CODE_B, CODES, COMPANIES, Mart, catalogs, city_maps
 from tallyloom.plans.testmart import mart, regions, table
-from tallyloom.runtime import materialize, scratch_dir
+from tallyloom.runtime import literal_rows, materialize, scratch_dir
 from tallyloom.schemas import CUSTOMER_ATTRIBUTES, CUSTOMER_KEY, PRODUCT_ATTRIBUTES, PRODUCT_KEY
 from tallyloom.sources import results
 from tallyloom.sources.mappings import read_catalog, read_city_map
@@ -354,7 +354,7 @@ def two_loads(m: Mart) -> tuple[DataFrame, DataFrame]:
     """A stored customer dimension, and a second batch that renames and adds."""
     good = conform.good_customers(conformed_customers(m))
     first = good.where(F.month("signup_date") <= 8)
-    empty = m.spark.createDataFrame([], schemas.DIM_CUSTOMER)
+    empty = literal_rows(m.spark, [], schemas.DIM_CUSTOMER)
     stored = dims.upsert_scd1(empty, first, CUSTOMER_KEY, CUSTOMER_ATTRIBUTES, "customer_sk", "one", LOADED_AT)
     second = good.where(F.month("signup_date") >= 5)
     copies = second.withColumn("_line", F.lit(1)).unionByName(
@@ -372,7 +372,7 @@ def _(m):
 @mart_query("C2_upsert_products")
 def _(m):
     good = conform.good_products(conformed_products(m))
-    empty = m.spark.createDataFrame([], schemas.DIM_PRODUCT)
+    empty = literal_rows(m.spark, [], schemas.DIM_PRODUCT)
     stored = dims.upsert_scd1(empty, good, PRODUCT_KEY, PRODUCT_ATTRIBUTES, "product_sk", "one", LOADED_AT)
     dearer = good.where(F.col("category") == "VOICE").withColumn(
         "unit_price_syp", to_money(F.col("unit_price_syp") * 2))

@@ -153,8 +153,10 @@ def governorates(cities: DataFrame, regions: DataFrame, codes: Sequence[str]) ->
     """One row per governorate of ``regions`` (id, name, ar, city), zero without sales.
     Cities outside the list count in the national total only."""
     amounts = [f"{c.lower()}_m" for c in codes] + ["total_m"]
-    national = cities.agg(F.coalesce(F.sum("total_syp"), F.lit(0)).alias("_national"))
-    shown = regions.join(cities, "city", "left").crossJoin(national)
+    # windows over one row per city
+    summed = cities.withColumn("_sum", F.sum("total_syp").over(W.partitionBy()))
+    shown = regions.join(summed, "city", "left").withColumn(
+        "_national", F.max("_sum").over(W.partitionBy()))
     total = F.coalesce(F.col("total_syp"), F.lit(0))
     rows = shown.select(
         "id", "name", "ar",
@@ -162,7 +164,7 @@ def governorates(cities: DataFrame, regions: DataFrame, codes: Sequence[str]) ->
         F.coalesce("unique_customers", F.lit(0)).alias("customers"),
         F.coalesce("order_count", F.lit(0)).alias("orders"),
         F.coalesce(money_avg(total, F.col("order_count")), F.lit(0)).alias("avg_order"),
-        F.coalesce(pct(total, F.col("_national")), F.lit(0)).alias("share_pct"),
+        F.coalesce(pct(total, F.coalesce("_national", F.lit(0))), F.lit(0)).alias("share_pct"),
     )
     return rank_small(rows, [F.col("total_m").desc(), F.col("id")])
 
@@ -170,9 +172,9 @@ def governorates(cities: DataFrame, regions: DataFrame, codes: Sequence[str]) ->
 def city_bars(cities: DataFrame, code: str, k: int = 8) -> DataFrame:
     """The k largest cities: length in percent of the largest, and the share of one
     company in percent (50 for a city without sales)."""
-    largest = cities.agg(F.max("total_syp").alias("_max"))
     best = top_k(cities, k, [F.col("total_syp").desc(), F.col("city")])
-    return best.crossJoin(largest).select(
+    largest = F.max("total_syp").over(W.partitionBy())  # k rows
+    return best.withColumn("_max", largest).select(
         "city",
         F.coalesce(pct(F.col("total_syp"), F.col("_max")), F.lit(0)).alias("bar_pct"),
         F.coalesce(pct(F.col(f"{code.lower()}_syp"), F.col("total_syp")), F.lit(50)).alias("split_pct"),
@@ -214,13 +216,11 @@ def monthly_wide(monthly: DataFrame, codes: Sequence[str]) -> DataFrame:
     """One row per month with a column in millions per company. A company without
     any sales is 0 throughout; a month without sales of a company is null."""
     wide = monthly.groupBy("year", "month").pivot("company_code", list(codes)).agg(F.sum("sales_syp"))
-    present = monthly.agg(*[
-        F.coalesce(F.bool_or(F.col("company_code") == c), F.lit(False)).alias(f"_has_{c}") for c in codes
-    ])
+    present = {c: F.count(F.col(c)).over(W.partitionBy()) > 0 for c in codes}  # one row per month
     period = month_start(F.col("year"), F.col("month"))
-    return wide.crossJoin(present).select(
+    return wide.select(
         "year", "month", period.alias("period"), month_label(period).alias("label"),
-        *[F.when(F.col(f"_has_{c}"), millions(F.col(c))).otherwise(0.0).alias(c.lower()) for c in codes],
+        *[F.when(present[c], millions(F.col(c))).otherwise(0.0).alias(c.lower()) for c in codes],
     ).orderBy("period")
 
 
@@ -241,11 +241,11 @@ def decision_indicators(fact: DataFrame, dim_customer: DataFrame, dim_date: Data
     daily = fact.groupBy("date_sk").agg(F.sum(AMOUNT).alias("_sales")).join(
         dim_date.select("date_sk", "full_date"), "date_sk"
     )
-    as_of = daily.agg(F.max("full_date").alias("_as_of"))
+    as_of = F.max("full_date").over(W.partitionBy())  # one row per day
     three, six = F.add_months("_as_of", -3), F.add_months("_as_of", -6)
     recent = F.col("full_date") > three
     before = (F.col("full_date") <= three) & (F.col("full_date") > six)
-    trend = daily.crossJoin(as_of).agg(
+    trend = daily.withColumn("_as_of", as_of).agg(
         F.sum(F.when(recent, F.col("_sales")).otherwise(0)).alias("last_3m_revenue_syp"),
         F.sum(F.when(before, F.col("_sales")).otherwise(0)).alias("prior_3m_revenue_syp"),
     )

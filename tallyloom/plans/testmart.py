@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.plans.batch import Feed, feed_a, feed_b, run_batch
 from tallyloom.plans.warehouse import Warehouse
-from tallyloom.runtime import scratch_dir
+from tallyloom.runtime import literal_rows, scratch_dir
 from tallyloom.schemas import LAYOUT_A, LAYOUT_B
 from tallyloom.sources.operational import parquet_reader
 
@@ -139,7 +139,7 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < LISTED_CITIES).select(
         F.lower("n_name").alias("id"), F.col("n_name").alias("name"),
         _local(CITY_PREFIX, "n_nationkey").alias("ar"), F.col("n_name").alias("city"))
-    empty = spark.createDataFrame([("nowhere", "NOWHERE", CITY_PREFIX, "NOWHERE")], listed.schema)
+    empty = literal_rows(spark, [("nowhere", "NOWHERE", CITY_PREFIX, "NOWHERE")], listed.schema)
     return listed.unionByName(empty)
 
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def session(app: str = "tallyloom", master: str | None = None, **conf: object) -> SparkSession:
@@ -44,3 +47,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
+    """A few fixed rows as part of the plan. Spark sees that they are small, whereas
+    it takes ``createDataFrame`` of a list for a table of unknown, huge size."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -38,7 +38,7 @@ def load_micro_batch(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_
     tables = warehouse.tables()
     judged = materialize(conform_orders([feed], [orders], tables), "sales")
     new = insert_absent(tables["fact_sales"], conform.good_sales(judged),
-                        schemas.FACT_KEY, schemas.FACT_ORDER)
+                        schemas.FACT_KEY, schemas.FACT_ORDER, judged.count())
     new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(batch_id)})
     warehouse.write(new, "fact_sales", batch_id)
     bad = conform.split_quarantine(judged)[1]
