@@ -49,6 +49,11 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
+def rounded(df: DataFrame, **scales: int) -> DataFrame:
+    """Round doubles to the digits that two engines' float sums agree on."""
+    return df.withColumns({name: F.round(name, scale) for name, scale in scales.items()})
+
+
 _QUERIES: dict[str, Query] = {}
 
 
@@ -204,7 +209,7 @@ def _(m):
 def _(m):
     path = f"{scratch_dir(m.spark)}/forecast-{uuid.uuid4().hex}"
     results.write_forecast(forecast.forecast_long(fit_of(m), KEYS), path)
-    return results.read_forecast(m.spark, path)["metrics"]
+    return rounded(results.read_forecast(m.spark, path)["metrics"], rmse=2, mape=6)
 
 
 @mart_query("A15_stored_or_computed")
@@ -571,12 +576,13 @@ def _(m):
 
 @mart_query("D17_governorate_panel")
 def _(m):
-    return reports.governorate_panel(governorates_of(m)).withColumn("total_m", F.round("total_m", 6))
+    return rounded(reports.governorate_panel(governorates_of(m)), total_m=6)
 
 
 @mart_query("D18_combined_forecast")
 def _(m):
-    return forecast.combined_forecast(forecast.holt_forecast(fit_of(m), KEYS), CODES)
+    months = forecast.combined_forecast(forecast.holt_forecast(fit_of(m), KEYS), CODES)
+    return rounded(months, opa=2, opb=2, combined=2)
 
 
 # -- E: customer segments ------------------------------------------------
@@ -657,33 +663,34 @@ def _(m):
 @mart_query("F3_holt")
 def _(m):
     rows = forecast.fitted_rows(fixed_holt(m), KEYS)
-    return rows.withColumn("fitted", F.round("fitted", 4))
+    return rounded(rows, fitted=4)
 
 
 @mart_query("F4_holt_fit")
 def _(m):
-    return fit_of(m).select("company_code", "alpha", "beta", "level0", "trend0", "level", "trend")
+    fit = fit_of(m).select("company_code", "alpha", "beta", "level0", "trend0", "level", "trend")
+    return rounded(fit, alpha=6, beta=6, level0=2, trend0=2, level=2, trend=2)
 
 
 @mart_query("F5_holt_forecast")
 def _(m):
-    return forecast.holt_forecast(fit_of(m), KEYS)
+    return rounded(forecast.holt_forecast(fit_of(m), KEYS), forecast=2)
 
 
 @mart_query("F6_trend_forecast")
 def _(m):
-    return forecast.trend_forecast(series_of(m), KEYS).withColumn("forecast", F.round("forecast", 2))
+    return rounded(forecast.trend_forecast(series_of(m), KEYS), forecast=2)
 
 
 @mart_query("F7_bands")
 def _(m):
-    return forecast.bands(fit_of(m), KEYS)
+    return rounded(forecast.bands(fit_of(m), KEYS), forecast=2, lower=2, upper=2)
 
 
 @mart_query("F8_metrics")
 def _(m):
     metrics = forecast.forecast_metrics(forecast.fitted_rows(fixed_holt(m), KEYS), KEYS)
-    return metrics.withColumns({"rmse": F.round("rmse", 4), "mape": F.round("mape", 8)})
+    return rounded(metrics, rmse=4, mape=8)
 
 
 @mart_query("F9_forecast_check")
@@ -696,14 +703,15 @@ def _(m):
 
 @mart_query("F10_forecast_long")
 def _(m):
-    return forecast.forecast_long(fit_of(m), KEYS)
+    return rounded(forecast.forecast_long(fit_of(m), KEYS), sales_syp=2)
 
 
 @mart_query("F11_forecast_summary")
 def _(m):
     summary = forecast.forecast_summary(fit_of(m), KEYS)
-    return summary.withColumn("periods", F.array_join("periods", ",")).withColumn(
-        "forecasts", F.array_join(F.transform("forecasts", lambda x: F.round(x, 2).cast("string")), ","))
+    values = {f"forecast_{i}": F.element_at("forecasts", i) for i in (1, 2, 3)}
+    wide = summary.withColumns({"periods": F.array_join("periods", ","), **values}).drop("forecasts")
+    return rounded(wide, forecast_1=2, forecast_2=2, forecast_3=2, rmse=2, mape=6)
 
 
 # -- G: ranks ------------------------------------------------------------

@@ -282,6 +282,71 @@ smoothed AS (
          0.1 * ((0.3 * k.y + 0.7 * (s.level + s.trend)) - s.level) + 0.9 * s.trend
   FROM smoothed s JOIN kept k ON k.company_code = s.company_code AND k.x = s.x + 1)"""
 
+
+
+def _fold(n: int) -> str:
+    """Normal equations of every cell of grid ``n``, as a recursion over the months, and
+    the best cell: smallest error, then alpha, then beta."""
+    return f"""fold{n} AS (
+  SELECT company_code, alpha, beta, CAST(0 AS BIGINT) AS x, 0e0 AS lc, 1e0 AS ll, 0e0 AS lt,
+         0e0 AS tc, 0e0 AS tl, 1e0 AS tt, 0e0 AS sll, 0e0 AS slt, 0e0 AS stt, 0e0 AS sly, 0e0 AS sty, 0e0 AS syy
+  FROM grid{n}
+  UNION ALL
+  SELECT company_code, alpha, beta, x, nlc, nll, nlt, beta * (nlc - lc) + (1 - beta) * tc,
+         beta * (nll - ll) + (1 - beta) * tl, beta * (nlt - lt) + (1 - beta) * tt, sll + pl * pl, slt + pl * pt,
+         stt + pt * pt, sly + pl * e, sty + pt * e, syy + e * e
+  FROM (SELECT *, (1 - alpha) * pc + alpha * ys AS nlc, (1 - alpha) * pl AS nll, (1 - alpha) * pt AS nlt, ys - pc AS e
+        FROM (SELECT f.* EXCLUDE (x), k.x, k.y / k.scale AS ys, lc + tc AS pc, ll + tl AS pl, lt + tt AS pt
+              FROM fold{n} f JOIN scaled k ON k.company_code = f.company_code AND k.x = f.x + 1))),
+solved{n} AS (
+  SELECT company_code, alpha, beta, level0, trend0,
+         greatest(0, round(syy - level0 * sly - trend0 * sty, 12)) AS sse
+  FROM (SELECT *, sll * stt - slt * slt AS det, (sly * stt - sty * slt) / (sll * stt - slt * slt) AS level0,
+               (sty * sll - sly * slt) / (sll * stt - slt * slt) AS trend0
+        FROM fold{n} JOIN lengths USING (company_code)
+        WHERE x = n AND sll * stt - slt * slt > 1e-9 * greatest(sll * stt, 1e-300))),
+best{n} AS (
+  SELECT * EXCLUDE (place) FROM (
+    SELECT *, row_number() OVER (PARTITION BY company_code ORDER BY sse, alpha, beta) AS place FROM solved{n})
+  WHERE place = 1)"""
+
+
+_FIT = f"""{_SERIES},
+scaled AS MATERIALIZED (
+  SELECT company_code, x, period, y, greatest(MAX(abs(y)) OVER (PARTITION BY company_code), 1e-300) AS scale
+  FROM kept),
+lengths AS (SELECT company_code, MAX(x) AS n, MAX(period) AS last, MAX(scale) AS scale FROM scaled GROUP BY company_code),
+grid1 AS (
+  SELECT company_code, a / 20e0 AS alpha, b / 20e0 AS beta
+  FROM lengths, (SELECT unnest(range(0, 21)) AS a), (SELECT unnest(range(0, 21)) AS b)),
+{_fold(1)},
+grid2 AS (
+  SELECT DISTINCT company_code, least(1e0, greatest(0e0, alpha + a * 0.005e0)) AS alpha,
+         least(1e0, greatest(0e0, beta + b * 0.005e0)) AS beta
+  FROM best1, (SELECT unnest(range(-10, 11)) AS a), (SELECT unnest(range(-10, 11)) AS b)),
+{_fold(2)},
+fit AS (
+  SELECT company_code, alpha, beta, level0 * scale AS level0, trend0 * scale AS trend0, n, last
+  FROM best2 JOIN lengths USING (company_code)),
+smooth AS (
+  SELECT company_code, CAST(0 AS BIGINT) AS x, CAST(NULL AS DATE) AS period, 0e0 AS y, 0e0 AS fitted,
+         level0 AS level, trend0 AS trend FROM fit
+  UNION ALL
+  SELECT company_code, x, period, y, expected, nl, beta * (nl - level) + (1 - beta) * trend
+  FROM (SELECT *, alpha * y + (1 - alpha) * expected AS nl
+        FROM (SELECT s.company_code, k.x, k.period, k.y, s.level, s.trend, s.level + s.trend AS expected, alpha, beta
+              FROM smooth s JOIN scaled k ON k.company_code = s.company_code AND k.x = s.x + 1
+              JOIN fit ON fit.company_code = s.company_code))),
+past AS (SELECT company_code, period, y AS actual, fitted FROM smooth WHERE x > 0),
+metrics AS (
+  SELECT company_code, sqrt(avg((actual - fitted) * (actual - fitted))) AS rmse,
+         avg(CASE WHEN actual <> 0 THEN abs((actual - fitted) / actual) END) * 100 AS mape
+  FROM past GROUP BY company_code),
+future AS (
+  SELECT fit.company_code, step, CAST(last + step * INTERVAL 1 MONTH AS DATE) AS period,
+         level + step * trend AS forecast, alpha, beta, level0, trend0, level, trend
+  FROM fit JOIN smooth ON smooth.company_code = fit.company_code AND smooth.x = n, (SELECT unnest([1, 2, 3]) AS step))"""
+
 _LINE = _SERIES + """,
 line AS (
   SELECT company_code, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, MAX(x) AS n,
@@ -471,6 +536,23 @@ def oracle_sql() -> dict[str, str]:
         "F6_trend_forecast": _sql(_LINE, "SELECT company_code, step, period, round(forecast, 2) AS forecast FROM ahead"),
         "F8_metrics": _sql(_HOLT, "SELECT company_code, round(sqrt(avg((y - fitted) * (y - fitted))), 4) AS rmse, round(avg(abs((y - fitted) / y)) * 100, 8) AS mape FROM smoothed GROUP BY company_code", recursive=True),
         "F9_forecast_check": _sql(_LINE, "SELECT company_code, period, CASE WHEN forecast < 0 THEN 'FAIL' WHEN forecast > 2 * highest THEN 'WARN' ELSE 'OK' END AS status FROM ahead"),
+        "F4_holt_fit": _sql(_FIT, """SELECT company_code, round(alpha, 6) AS alpha, round(beta, 6) AS beta, round(level0, 2) AS level0, round(trend0, 2) AS trend0,
+              round(level, 2) AS level, round(trend, 2) AS trend FROM future WHERE step = 1""", recursive=True),
+        "F5_holt_forecast": _sql(_FIT, "SELECT company_code, step, period, round(forecast, 2) AS forecast FROM future", recursive=True),
+        "F7_bands": _sql(_FIT, """SELECT company_code, step, period, round(forecast, 2) AS forecast, round(forecast - half, 2) AS lower, round(forecast + half, 2) AS upper FROM (
+              SELECT f.*, 1.2815515655446004e0 * rmse * sqrt(1 + CASE step WHEN 1 THEN 0e0 WHEN 2 THEN pow(alpha + alpha * beta, 2)
+                ELSE pow(alpha + alpha * beta, 2) + pow(alpha + alpha * beta * 2, 2) END) AS half
+              FROM future f JOIN metrics m ON m.company_code = f.company_code)""", recursive=True),
+        "F10_forecast_long": _sql(_FIT, """SELECT company_code, strftime(period, '%Y-%m') AS period, 'actual' AS type, round(actual, 2) AS sales_syp FROM past
+            UNION ALL SELECT company_code, strftime(period, '%Y-%m'), 'fitted', round(fitted, 2) FROM past
+            UNION ALL SELECT company_code, strftime(period, '%Y-%m'), 'forecast', round(forecast, 2) FROM future""", recursive=True),
+        "F11_forecast_summary": _sql(_FIT, """SELECT company_code, string_agg(strftime(period, '%Y-%m'), ',' ORDER BY step) AS periods,
+              round(MAX(CASE step WHEN 1 THEN forecast END), 2) AS forecast_1, round(MAX(CASE step WHEN 2 THEN forecast END), 2) AS forecast_2,
+              round(MAX(CASE step WHEN 3 THEN forecast END), 2) AS forecast_3, round(MAX(rmse), 2) AS rmse, round(MAX(mape), 6) AS mape
+            FROM future JOIN metrics USING (company_code) GROUP BY company_code""", recursive=True),
+        "D18_combined_forecast": _sql(_FIT, """SELECT period, round(MAX(CASE company_code WHEN 'OPA' THEN forecast END), 2) AS opa,
+              round(MAX(CASE company_code WHEN 'OPB' THEN forecast END), 2) AS opb, round(SUM(forecast), 2) AS combined FROM future GROUP BY period""", recursive=True),
+        "A12_A14_forecast_store": _sql(_FIT, "SELECT company_code, round(rmse, 2) AS rmse, round(mape, 6) AS mape FROM metrics", recursive=True),
         # -- ranks
         "G1_global_row_number": _sql("", """SELECT customer_sk, orders, row_number() OVER (ORDER BY orders, customer_sk) AS row_number
             FROM (SELECT customer_sk, COUNT(*) AS orders FROM fact_sales GROUP BY customer_sk)"""),
