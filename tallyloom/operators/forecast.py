@@ -15,12 +15,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.calendar import month_start
+from tallyloom.functions.holt_grid import PARAMETERS, fit_batch
 
 HORIZON = 3
 MIN_POINTS = 3
 Z_80 = 1.2815515655446004  # fixed value: normal quantile of a two-sided 80% band
-GRID_STEPS = 20  # first grid: 0, 0.05, ..., 1 in both parameters
-REFINE_STEPS = 10  # second grid: one tenth of that around the best cell
 
 
 def monthly_series(monthly: DataFrame) -> DataFrame:
@@ -88,94 +87,17 @@ def _apply(params: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _normal_equations(points: Column, scale: Column, alpha: Column, beta: Column) -> Column:
-    """Fold for one (alpha, beta). Level and trend are affine in the two start values
-    (constant, factor of level0, factor of trend0), and so are the errors: the sums
-    are those of a regression on two unknowns."""
-    zero, one = F.lit(0.0), F.lit(1.0)
-
-    def triple(constant: Column, by_level: Column, by_trend: Column, name: str) -> Column:
-        return F.struct(constant.alias("c"), by_level.alias("l"), by_trend.alias("t")).alias(name)
-
-    sums = ["ll", "lt", "tt", "ly", "ty", "yy"]
-    start = F.struct(triple(zero, one, zero, "level"), triple(zero, zero, one, "trend"),
-                     *[zero.alias(s) for s in sums])
-
-    def step(s: Column, point: Column) -> Column:
-        y = point["y"] / scale
-        part = {p: s["level"][p] + s["trend"][p] for p in "clt"}
-        error = y - part["c"]
-        level = {p: (1 - alpha) * part[p] for p in "clt"}
-        level["c"] = level["c"] + alpha * y
-        trend = {p: beta * (level[p] - s["level"][p]) + (1 - beta) * s["trend"][p] for p in "clt"}
-        return F.struct(
-            triple(level["c"], level["l"], level["t"], "level"),
-            triple(trend["c"], trend["l"], trend["t"], "trend"),
-            (s["ll"] + part["l"] * part["l"]).alias("ll"),
-            (s["lt"] + part["l"] * part["t"]).alias("lt"),
-            (s["tt"] + part["t"] * part["t"]).alias("tt"),
-            (s["ly"] + part["l"] * error).alias("ly"),
-            (s["ty"] + part["t"] * error).alias("ty"),
-            (s["yy"] + error * error).alias("yy"),
-        )
-
-    return F.aggregate(points, start, step)
-
-
-def _best_cell(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Solve each grid cell and keep the best per key; ties go to the smaller alpha,
-    then beta. Cells without a unique solution are left out."""
-    sums = F.col("_sums")
-    determinant = sums["ll"] * sums["tt"] - sums["lt"] * sums["lt"]
-    solvable = determinant > 1e-9 * F.greatest(sums["ll"] * sums["tt"], F.lit(1e-300))
-    solved = (
-        cells.withColumn("_sums", _normal_equations(
-            F.col("points"), F.col("scale"), F.col("alpha"), F.col("beta")))
-        .withColumn("_det", determinant)
-        .where(solvable)
-        .withColumns({
-            "level0": (sums["ly"] * sums["tt"] - sums["ty"] * sums["lt"]) / F.col("_det"),
-            "trend0": (sums["ty"] * sums["ll"] - sums["ly"] * sums["lt"]) / F.col("_det"),
-        })
-        .withColumn("sse", F.greatest(F.lit(0.0), F.round(
-            sums["yy"] - F.col("level0") * sums["ly"] - F.col("trend0") * sums["ty"], 12)))
-    )
-    best = F.min(F.struct("sse", "alpha", "beta", "level0", "trend0")).alias("_best")
-    return solved.groupBy(*keys).agg(best, F.first("points").alias("points"),
-                                     F.first("scale").alias("scale")).select(
-        *keys, "points", "scale", "_best.*"
-    )
-
-
-def _grid(center: Column | None, steps: int, width: float) -> Column:
-    if center is None:
-        return F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: i / F.lit(float(steps)))
-    around = F.transform(
-        F.sequence(F.lit(-steps), F.lit(steps)),
-        lambda i: F.least(F.lit(1.0), F.greatest(F.lit(0.0), center + i * F.lit(width / steps))),
-    )
-    return F.array_distinct(around)
-
-
-def holt_fit(series: DataFrame, keys: Sequence[str], grid_steps: int = GRID_STEPS,
-             refine_steps: int = REFINE_STEPS) -> DataFrame:
-    """Least-squares fit per key: one row as ``holt`` gives it.
+def holt_fit(series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Least-squares fit per key: one row as ``holt`` gives it. Keys without a unique
+    fit (fewer than two months) are left out.
 
     For fixed (alpha, beta) the start values have a closed solution; the two
     parameters are searched on a grid, then on a finer one around the best cell.
     """
-    points = _points(series, keys).withColumn("scale", F.greatest(
-        F.array_max(F.transform("points", lambda p: F.abs(p["y"]))), F.lit(1e-300)))
-    coarse = points.withColumn("alpha", F.explode(_grid(None, grid_steps, 1.0))).withColumn(
-        "beta", F.explode(_grid(None, grid_steps, 1.0)))
-    best = _best_cell(coarse, keys).drop("sse", "level0", "trend0")
-    width = 1.0 / grid_steps
-    fine = best.withColumn("alpha", F.explode(_grid(F.col("alpha"), refine_steps, width))).withColumn(
-        "beta", F.explode(_grid(F.col("beta"), refine_steps, width)))
-    fitted = _best_cell(fine, keys)
-    return _apply(fitted.withColumns({
-        "level0": F.col("level0") * F.col("scale"), "trend0": F.col("trend0") * F.col("scale"),
-    }), keys)
+    fit = F.pandas_udf(fit_batch, PARAMETERS)
+    values = F.transform("points", lambda p: p["y"])
+    fitted = _points(series, keys).withColumn("_fit", fit(values)).select(*keys, "points", "_fit.*")
+    return _apply(fitted.where(F.col("alpha").isNotNull()), keys)
 
 
 def fitted_rows(fit: DataFrame, keys: Sequence[str]) -> DataFrame:
