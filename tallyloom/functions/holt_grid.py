@@ -15,7 +15,7 @@ REFINE_STEPS = 10  # second grid: one tenth of that around the best cell
 PARAMETERS = "alpha DOUBLE, beta DOUBLE, level0 DOUBLE, trend0 DOUBLE"
 
 
-def _best_cell(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray) -> tuple | None:
+def _best_cell(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray) -> tuple:
     """The cell with the smallest error; ties go to the smaller alpha, then beta.
 
     Level and trend are affine in the two start values (row 0: constant, 1: factor of
@@ -41,8 +41,6 @@ def _best_cell(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray) -> tuple |
         yy += error * error
     determinant = ll * tt - lt * lt
     solvable = determinant > 1e-9 * np.maximum(ll * tt, 1e-300)
-    if not solvable.any():
-        return None
     divisor = np.where(solvable, determinant, 1.0)
     level0 = (ly * tt - ty * lt) / divisor
     trend0 = (ty * ll - ly * lt) / divisor
@@ -53,14 +51,12 @@ def _best_cell(y: np.ndarray, alphas: np.ndarray, betas: np.ndarray) -> tuple |
 
 def fit_series(values: np.ndarray, grid_steps: int = GRID_STEPS,
                refine_steps: int = REFINE_STEPS) -> tuple:
-    """(alpha, beta, start level, start trend), or four nulls without a unique fit."""
+    """(alpha, beta, start level, start trend) of a series of at least two months."""
     y = np.asarray(values, dtype=float)
     scale = max(np.abs(y).max(initial=0.0), 1e-300)
     y = y / scale
     grid = np.arange(grid_steps + 1) / grid_steps
     coarse = _best_cell(y, grid, grid)
-    if coarse is None:
-        return (None, None, None, None)
     width = 1.0 / grid_steps / refine_steps
     steps = np.arange(-refine_steps, refine_steps + 1) * width
     near = [np.unique(np.clip(center + steps, 0.0, 1.0)) for center in coarse[:2]]

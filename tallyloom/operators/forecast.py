@@ -96,8 +96,10 @@ def holt_fit(series: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     fit = F.pandas_udf(fit_batch, PARAMETERS)
     values = F.transform("points", lambda p: p["y"])
-    fitted = _points(series, keys).withColumn("_fit", fit(values)).select(*keys, "points", "_fit.*")
-    return _apply(fitted.where(F.col("alpha").isNotNull()), keys)
+    # two months always have a fit, so no filter has to look at the result of the fit,
+    # which would make Spark compute it twice
+    enough = _points(series, keys).where(F.size("points") >= 2)
+    return _apply(enough.withColumn("_fit", fit(values)).select(*keys, "points", "_fit.*"), keys)
 
 
 def fitted_rows(fit: DataFrame, keys: Sequence[str]) -> DataFrame:
