@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tallyloom import schemas  # noqa: E402
 from tallyloom.plans.batch import feed_a, feed_b  # noqa: E402
 from tallyloom.plans.warehouse import Warehouse  # noqa: E402
-from tallyloom.runtime import session  # noqa: E402
+from tallyloom.runtime import literal_rows, session  # noqa: E402
 from tallyloom.sources.operational import frame_reader  # noqa: E402
 
 COMPANIES = [("AA", "أ", "Company A"), ("BB", "ب", "Company B")]
@@ -21,8 +21,8 @@ def spark(tmp_path_factory):
     spark = session(
         "tests", "local[4]",
         **{
-            "spark.sql.shuffle.partitions": 4,
-            "spark.default.parallelism": 4,
+            "spark.sql.shuffle.partitions": 2,
+            "spark.default.parallelism": 2,
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
@@ -80,15 +80,7 @@ def source_frames(spark, customers=None, products=None, orders=None, clients=Non
     }
     layouts = {**schemas.LAYOUT_A, **schemas.LAYOUT_B}
 
-    def frame(name, table):
-        from decimal import Decimal
-
-        decimals = {i for i, f in enumerate(layouts[name]) if f.dataType.typeName() == "decimal"}
-        fixed = [tuple(Decimal(v) if i in decimals and v is not None else v for i, v in enumerate(r))
-                 for r in table]
-        return spark.createDataFrame(fixed, layouts[name])
-
-    return {name: frame(name, table) for name, table in given.items()}
+    return {name: literal_rows(spark, table, layouts[name]) for name, table in given.items()}
 
 
 def feeds(frames):
