@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom import schemas
 from tallyloom.functions.calendar import dim_date
@@ -83,13 +84,14 @@ class Warehouse:
                 return found
         return literal_rows(self.spark, [], SNAPSHOTS[table])
 
-    def _batches(self, table: str, batch_ids: list[str]) -> DataFrame:
+    def _batches(self, table: str, batches: list[str]) -> DataFrame:
+        """Rows of the given batches: one listing of the table, pruned by folder."""
         schema = APPENDED[table]
-        paths = [self.path(table, b) for b in batch_ids]
-        found = [p for p in paths if self._existing(p, schema) is not None]
-        if not found:
-            return literal_rows(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(*found)
+        by_batch = T.StructType(list(schema.fields))
+        if "batch_id" not in schema.names:
+            by_batch = by_batch.add("batch_id", T.StringType())
+        stored = self._read(f"{self.root}/{table}", by_batch)
+        return stored.where(F.col("batch_id").isin(batches)).select(*schema.names)
 
     def _read(self, path: str, schema) -> DataFrame:
         found = self._existing(path, schema)

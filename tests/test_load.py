@@ -94,6 +94,13 @@ def test_dry_run_reports_order_errors_and_writes_nothing(spark, warehouse, city_
     assert warehouse.runs().isEmpty() and warehouse.tables()["fact_sales"].isEmpty()
 
 
+def test_looking_for_heavy_keys_changes_nothing(spark, warehouse, city_maps, catalogs, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.batch.HEAVY_CHECK_ROWS", 0)
+    monkeypatch.setattr("tallyloom.operators.lookup.PART_SHARE", 0.1)
+    result = load(warehouse, source_frames(spark), city_maps, catalogs)
+    assert (result.loaded, result.quarantined) == (3, 0)
+
+
 def test_since_leaves_out_earlier_orders(spark, warehouse, city_maps, catalogs):
     frames = source_frames(spark)
     partial = load(warehouse, frames, city_maps, catalogs, "since", since=dt.date(2024, 4, 1))
