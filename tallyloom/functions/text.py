@@ -36,13 +36,21 @@ def transliterate(col: Column, mapping: dict[str, str]) -> Column:
     return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
 
 
-def first_failure(rules: list[tuple[Column, str, Column]]) -> Column:
-    """Struct (code, message) of the first rule whose condition holds, else null.
+Rule = tuple[Column, str, Column]  # (condition of failure, stable reason code, message)
 
-    A rule is (condition of failure, stable reason code, message).
-    """
+
+def first_failure(rules: list[Rule]) -> Column:
+    """Code of the first rule whose condition holds, else null."""
+    found = None
+    for failed, code, _ in rules:
+        found = F.when(failed, code) if found is None else found.when(failed, code)
+    return found
+
+
+def failure_message(code: Column, rules: list[Rule]) -> Column:
+    """Message of the rule with the given code, else null."""
     found = None
-    for failed, code, message in rules:
-        reason = F.struct(F.lit(code).alias("code"), message.alias("message"))
-        found = F.when(failed, reason) if found is None else found.when(failed, reason)
+    for _, known, message in rules:
+        match = code == known
+        found = F.when(match, message) if found is None else found.when(match, message)
     return found

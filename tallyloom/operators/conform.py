@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.calendar import date_sk
 from tallyloom.functions.money import line_total, to_money
-from tallyloom.functions.text import first_failure, in_domain, map_value, phone_e164
+from tallyloom.functions.text import Rule, failure_message, first_failure, in_domain, map_value
+from tallyloom.functions.text import phone_e164
 from tallyloom.operators.lookup import salted_lookup, with_position
 from tallyloom.schemas import CATEGORIES, CUSTOMER_ATTRIBUTES, CUSTOMER_KEY, FACT_COLUMNS
 from tallyloom.schemas import PRODUCT_ATTRIBUTES, PRODUCT_KEY
@@ -53,17 +54,19 @@ def _message(text: str, col: Column) -> Column:
 
 
 def _judge(df: DataFrame, raw: list[str], spec: SourceSpec, table: str,
-           failure: Column, warning: Column | None = None) -> DataFrame:
-    finding = failure if warning is None else F.coalesce(failure, warning)
-    judged = df.withColumn("_failure", failure).withColumn("_finding", finding)
+           rules: list[Rule], warnings: list[Rule] | None = None) -> DataFrame:
+    judged = df.withColumn("_failure", first_failure(rules))
+    code = F.col("_failure")
+    if warnings:
+        code = F.coalesce(code, first_failure(warnings))
+    judged = judged.withColumn("reason_code", code)
     return judged.withColumns({
         "source_system": F.lit(spec.code),
         "source_table": F.lit(table),
-        "source_row": F.when(F.col("_finding").isNotNull(), row_payload(df, raw)),
-        "reason_code": F.col("_finding.code"),
-        "reason": F.col("_finding.message"),
+        "source_row": F.when(F.col("reason_code").isNotNull(), row_payload(df, raw)),
+        "reason": failure_message(F.col("reason_code"), rules + (warnings or [])),
         "rejected": F.col("_failure").isNotNull(),
-    }).drop("_failure", "_finding")
+    }).drop("_failure")
 
 
 def conform_customers(raw: DataFrame, spec: SourceSpec, city_map: DataFrame,
@@ -73,16 +76,16 @@ def conform_customers(raw: DataFrame, spec: SourceSpec, city_map: DataFrame,
     mapped = map_column(raw, city_map, at.city, "_city").withColumn(
         "_phone", phone_e164(F.col(at.phone), at.phone_rule)
     )
-    failure = first_failure([
+    rules: list[Rule] = [
         (F.col("_city").isNull(), "unknown_city", _message("unknown city", F.col(at.city))),
         (F.col("_phone").isNull(), "invalid_phone",
          _message(f"invalid phone for {spec.code}", F.col(at.phone))),
         (F.col(at.id).isNull(), "null_id", F.lit("customer id is null")),
         (F.col(at.name).isNull(), "null_name", F.lit("customer name is null")),
         (F.col(at.signup).isNull(), "null_signup", F.lit("signup date is null")),
-    ])
+    ]
     name = F.trim(at.name) if trim_names else F.col(at.name)
-    return _judge(mapped, raw.columns, spec, at.table, failure).select(
+    return _judge(mapped, raw.columns, spec, at.table, rules).select(
         F.col(at.id).cast("string").alias("source_customer_id"),
         name.alias("full_name"),
         F.col("_phone").alias("phone_e164"),
@@ -107,7 +110,7 @@ def conform_products(raw: DataFrame, spec: SourceSpec, catalog: DataFrame) -> Da
         "_category": map_value(F.col(at.category), at.categories),
         "_price": to_money(F.col(at.price)),
     })
-    failure = first_failure([
+    rules: list[Rule] = [
         (F.col("_category").isNull(), "unknown_category",
          _message(f"unknown category for {spec.code}", F.col(at.category))),
         (F.col("_price").isNull(), "invalid_price", _message("invalid price", F.col(at.price))),
@@ -115,8 +118,8 @@ def conform_products(raw: DataFrame, spec: SourceSpec, catalog: DataFrame) -> Da
          _message("category not in domain", F.col("_category"))),
         (F.col(at.id).isNull(), "null_id", F.lit("product id is null")),
         (F.col("product_name_en").isNull(), "null_name", F.lit("product name is null")),
-    ])
-    return _judge(mapped, raw.columns, spec, at.table, failure).select(
+    ]
+    return _judge(mapped, raw.columns, spec, at.table, rules).select(
         F.col(at.id).cast("string").alias("source_product_id"),
         "product_name_en",
         F.col("_category").alias("category"),
@@ -169,7 +172,7 @@ def conform_sales(raw: DataFrame, spec: SourceSpec, dim_customer: DataFrame, dim
         "_computed": line_total(F.col(at.quantity), F.col(at.price)),
     }).join(days, F.col("date_sk") == F.col("_calendar_sk"), "left")
 
-    failure = first_failure([
+    rules: list[Rule] = [
         (F.col("customer_sk").isNull(), "no_customer",
          _message(f"no customer_sk for {spec.code} {at.customer}", F.col(at.customer))),
         (F.col("product_sk").isNull(), "no_product",
@@ -181,9 +184,9 @@ def conform_sales(raw: DataFrame, spec: SourceSpec, dim_customer: DataFrame, dim
          _message("quantity not positive", F.col(at.quantity))),
         (F.col("_computed").isNull(), "invalid_amount", _message("invalid amount", F.col(at.price))),
         (F.col(at.id).isNull(), "null_id", F.lit("order id is null")),
-    ])
-    warning = None if at.total is None else validate_total(F.col(at.total), F.col("_computed"))
-    return _judge(keyed, raw.columns, spec, at.table, failure, warning).select(
+    ]
+    warnings = [] if at.total is None else [validate_total(F.col(at.total), F.col("_computed"))]
+    return _judge(keyed, raw.columns, spec, at.table, rules, warnings).select(
         "date_sk", "customer_sk", "product_sk", "company_sk",
         F.col("_quantity").alias("quantity"),
         F.col("_price").alias("unit_price_syp"),
@@ -193,15 +196,14 @@ def conform_sales(raw: DataFrame, spec: SourceSpec, dim_customer: DataFrame, dim
     )
 
 
-def validate_total(stored: Column, computed: Column) -> Column:
-    """Finding (code, message) where a stored total is not the computed one."""
+def validate_total(stored: Column, computed: Column) -> Rule:
+    """Rule broken where a stored total is not the computed one."""
     amounts = F.concat(
         F.lit("inconsistent_stored_total: stored="), F.coalesce(stored.cast("string"), F.lit("null")),
         F.lit(", computed="), computed.cast("bigint").cast("string"),
     )
     differs = ~stored.cast("decimal(20,2)").eqNullSafe(computed)
-    return F.when(differs, F.struct(F.lit("inconsistent_stored_total").alias("code"),
-                                    amounts.alias("message")))
+    return differs, "inconsistent_stored_total", amounts
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

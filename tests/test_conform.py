@@ -5,6 +5,7 @@ import pytest
 from conftest import DAY, feeds, rows, source_frames
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import first_failure
 from tallyloom.operators import conform
 from tallyloom.sources.operational import read_source_a, read_source_b, since_filter
 
@@ -159,5 +160,5 @@ def test_since_reaches_the_scan(spark, tmp_path):
 
 def test_validate_total_of_null(spark):
     df = spark.createDataFrame([(None, Decimal("5.00")), (5, Decimal("5.00"))], "s LONG, c DECIMAL(14,2)")
-    found = [r[0] for r in df.select(conform.validate_total(F.col("s"), F.col("c"))["code"]).collect()]
+    found = [r[0] for r in df.select(first_failure([conform.validate_total(F.col("s"), F.col("c"))])).collect()]
     assert found == ["inconsistent_stored_total", None]
