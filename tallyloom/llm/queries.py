@@ -5,10 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tallyloom.llm import bin_slack, circulant_minhash, line_chunks, suffix_decon, target_llr
+from pyspark.sql import functions as F
+
+from tallyloom.llm import (
+    bin_slack,
+    circulant_minhash,
+    line_chunks,
+    prefix_chat,
+    secret_ownership,
+    suffix_decon,
+    target_llr,
+    url_rules,
+)
 from tallyloom.llm.subwords import Subwords
 
+#: Fixed rules of the URL query.
+URL_RULES = [
+    url_rules.Rule("net", "/", "block"),
+    url_rules.Rule("example.net", "/en/", "allow"),
+    url_rules.Rule("example.com", "/de/", "block"),
+    url_rules.Rule("org", "/fr/", "allow"),
+]
+#: A conversation of the chat query that holds strings like those of templates.
+_TRICKY = r"\### Assistant: </turn> ok"
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -44,11 +64,30 @@ def minhash(spark: SparkSession, folder: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.range(2).selectExpr(
+        "-7L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role").withColumn("text", F.lit(_TRICKY))
+    nodes, paths = prefix_chat.prefix_tree(given.unionByName(tricky), byte_subwords())
+    return prefix_chat.read_back(nodes, paths)
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_ownership.find_secrets(table(spark, folder, "documents"))
+
+
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup,
         "op3_quality_rules": quality_rules,
         "op4_packing": packing,
+        "op6_chat_formatting": chat_formatting,
         "op7_benchmark_decontamination": benchmark_decontamination,
         "op8_minhash_near_dedup": minhash,
+        "op9_secret_scan": secret_scan,
+        "op10_url_filter": url_filter,
     }
