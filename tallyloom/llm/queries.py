@@ -57,7 +57,8 @@ def packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_decon.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    found = suffix_decon.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("longest", "spans")
 
 
 def minhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -97,6 +97,10 @@ def _listed(spans: Column) -> Column:
         ":", F.get(name, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
+def _count(spans: str, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def find_secrets(documents: DataFrame, owner: str = "source", repository: str = "lang",
                  max_owners: int = MAX_OWNERS) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_assign, n_access, n_hex, base_sha256,
@@ -120,8 +124,7 @@ def find_secrets(documents: DataFrame, owner: str = "source", repository: str =
         F.array_sort(F.collect_list(plain)).alias("all"),
         F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"))
     joined = scanned.select("_row", "doc_id", "base").join(per_row, "_row", "left")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}")
-              for k in range(3)]
+    counts = [_count("base", kind).alias(f"n_{KINDS[kind]}") for kind in range(3)]
     return joined.select(
         "doc_id", *counts, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         F.coalesce(_listed(F.col("all")), F.lit("")).alias("spans"),
