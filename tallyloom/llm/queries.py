@@ -12,6 +12,7 @@ from tallyloom.llm import (
     circulant_minhash,
     line_chunks,
     prefix_chat,
+    pu_quality,
     secret_ownership,
     suffix_decon,
     target_llr,
@@ -46,6 +47,15 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return deduped.select("doc_id", "text", "n_removed_lines", "n_removed_words")
 
 
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    open_rows = pu_quality.fold("doc_id", 3) != 1
+    trusted = table(spark, folder, "labels").where((F.col("quality") == 1) & open_rows)
+    network = pu_quality.fit(documents.where(open_rows), trusted)
+    scored = pu_quality.score(documents, network)
+    return scored.select("doc_id", (pu_quality.fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     trusted = target_llr.trusted_texts(documents, table(spark, folder, "labels"))
@@ -84,6 +94,7 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup,
+        "op2_quality_classifier": quality_classifier,
         "op3_quality_rules": quality_rules,
         "op4_packing": packing,
         "op6_chat_formatting": chat_formatting,
