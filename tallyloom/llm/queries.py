@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    attention_lm,
     bin_slack,
     circulant_minhash,
     line_chunks,
@@ -75,6 +76,13 @@ def minhash(spark: SparkSession, folder: str) -> DataFrame:
     return circulant_minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = pu_quality.fold("doc_id", 5) == 1
+    scored = attention_lm.score_corpus(documents, ~held_out, byte_subwords())
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     tricky = spark.range(2).selectExpr(
@@ -97,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_classifier": quality_classifier,
         "op3_quality_rules": quality_rules,
         "op4_packing": packing,
+        "op5_lm_scores": lm_scores,
         "op6_chat_formatting": chat_formatting,
         "op7_benchmark_decontamination": benchmark_decontamination,
         "op8_minhash_near_dedup": minhash,
