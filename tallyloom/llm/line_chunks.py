@@ -132,9 +132,12 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     """
     counts = ["n_removed_lines", "n_removed_words"]
     names = [c for c in documents.columns if c not in counts]
+    others = [c for c in names if c != "text"]
     gone = removals(documents).withColumnsRenamed({"_row": "_gone_row", "doc_id": "_gone_id"})
-    own = (F.col("_row") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
-    whole = documents.select(*names, _row()).join(gone, own, "left").select(*names, "_places")
+    # other columns travel as one struct, so that no name of theirs can clash
+    whole = documents.select(F.struct(*others).alias("_whole"), "text", _row())
+    own = (F.col("_row") == F.col("_gone_row")) & F.col("_whole.doc_id").eqNullSafe(F.col("_gone_id"))
+    whole = whole.join(gone, own, "left").select("_whole", "text", "_places")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks.blocks(batches):
@@ -148,12 +151,11 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
                 drop = {i for at in chunk_places(lines) if at[0] in starts for i in at}
                 texts.append(b"\n".join([line for i, line in enumerate(lines) if i not in drop]))
                 removed.append((len(drop), sum(len(lines[i].split()) for i in drop)))
-            new = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*(new if c == "text" else block.column(c) for c in names),
+                [block.column("_whole"), pa.array(texts, pa.binary()).cast(pa.string()),
                  pa.array([r[0] for r in removed], pa.int64()), pa.array([r[1] for r in removed], pa.int64())],
-                [*names, *counts])
+                ["_whole", "text", *counts])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema
-                          if f.name in names), *(f"{c} BIGINT" for c in counts)])
-    return whole.mapInArrow(rewrite, schema)
+    kind = whole.schema["_whole"].dataType.simpleString()
+    done = whole.mapInArrow(rewrite, f"_whole {kind}, text STRING, " + ", ".join(f"{c} BIGINT" for c in counts))
+    return done.select(*[F.col(c if c == "text" else f"_whole.`{c}`").alias(c) for c in names], *counts)

@@ -122,7 +122,8 @@ def judge(documents: DataFrame, ratios: Ratios, text: str = "text") -> DataFrame
     shared = documents.sparkSession.sparkContext.broadcast(ratios)  # one number per bucket
     names = [f.split()[0] for f in _SCORES.split(", ")]
     kept_names = [c for c in documents.columns if c not in names]
-    source = documents.select(*kept_names, F.col(text).alias("_text"))
+    # the input's columns travel as one struct, so that no name of theirs can clash
+    source = documents.select(F.struct(*kept_names).alias("_whole"), F.col(text).alias("_text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ratio, threshold = shared.value.log_ratio, shared.value.threshold
@@ -139,11 +140,10 @@ def judge(documents: DataFrame, ratios: Ratios, text: str = "text") -> DataFrame
             failed = (n_words < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PCT * n_words)
             columns = [n_words, *facts.T, repeat, failed, llr, ~failed & (llr >= threshold)]
             yield pa.RecordBatch.from_arrays(
-                [*(block.column(c) for c in kept_names), *map(pa.array, columns)], [*kept_names, *names])
+                [block.column("_whole"), *map(pa.array, columns)], ["_whole", *names])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema
-                          if f.name != "_text"), _SCORES])
-    return source.mapInArrow(score, schema)
+    scored = source.mapInArrow(score, f"_whole {source.schema['_whole'].dataType.simpleString()}, {_SCORES}")
+    return scored.select("_whole.*", *names)
 
 
 def trusted_texts(documents: DataFrame, labels: DataFrame, trusted: Column | None = None) -> DataFrame:
