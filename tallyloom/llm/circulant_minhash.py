@@ -7,12 +7,12 @@ a shingle lie side by side in memory.
 
 1. Every document: set size, digest of its set, band keys. Equal sets form a class.
 2. Classes that share a band are candidates. Links are confirmed on the full shingle
-   sets, first of every class with the smallest class of each of its bands, then with
-   the largest, then, band by band, of those pairs that are not connected yet. Connected
-   pairs need no further check, so a large group of near copies costs a check or two per
+   sets, first of every class with one leader of each of its bands, a few times with
+   other leaders, then, band by band, of all pairs that are not connected yet. Connected
+   pairs need no further check, so a large group of near copies costs some checks per
    member and band, not one per pair, and no candidate is dropped.
-   A pair is looked at only if its sizes and the parities of its coordinates allow the
-   similarity: of two sets at the limit, one pair in 200,000 differs in more parities.
+   A pair is looked at only if its sizes and two bits of each coordinate allow the
+   similarity: of pairs at the very limit, one in 100,000 differs in more coordinates.
 3. Components of the confirmed links.
 """
 
@@ -34,12 +34,16 @@ SHINGLE = 5
 SIMILAR_PCT = 75
 #: A pair at the limit of 0.75 misses all bands with a chance of 2 in 100,000.
 BANDS, ROWS = 40, 5
+#: Times that leaders are drawn before all pairs of different components are compared.
+TURNS = 3
 UNIVERSE = 1 << 20
-#: Coordinates whose parities are kept, in words of 64. Two sets at the limit differ in
-#: 64 of 512 on average, with a standard deviation of 7.5.
-PARITIES = 512
-MAX_DIFFERENT = 98
-_WORDS = [f"bits{i}" for i in range(PARITIES // 64)]
+#: Coordinates whose two lowest bits are kept, in words of 64. Two sets at the limit
+#: differ in 192 of 1024 on average, with a standard deviation of 12.5.
+SKETCHED = 1024
+MAX_DIFFERENT = 246
+_LOW = [f"low{i}" for i in range(SKETCHED // 64)]
+_HIGH = [f"high{i}" for i in range(SKETCHED // 64)]
+_WORDS = [*_LOW, *_HIGH]
 
 _ODD = np.uint64(0xA24BAED4963EE407 | 1)
 _second: dict[int, np.ndarray] = {}
@@ -72,7 +76,7 @@ def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     return sets
 
 
-def signature(shingles: np.ndarray, coordinates: int = PARITIES) -> np.ndarray:
+def signature(shingles: np.ndarray, coordinates: int = SKETCHED) -> np.ndarray:
     """All MinHash coordinates of a set that is not empty."""
     first = (shingles * _ODD >> np.uint64(64 - UNIVERSE.bit_length() + 1)).astype(np.int64)
     table = _shifted(coordinates)
@@ -87,9 +91,11 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> n
     return blocks.mix(key + np.arange(bands, dtype=np.uint64) * blocks.PLACES[63]).view(np.int64)
 
 
-def parity_words(signatures: np.ndarray) -> np.ndarray:
-    """The lowest bit of every coordinate, packed into 64-bit words."""
-    return np.packbits((signatures & 1).astype(bool), axis=1).view(np.int64)
+def sketch_words(signatures: np.ndarray) -> np.ndarray:
+    """The two lowest bits of every coordinate: words of all last bits, then of all
+    last but one."""
+    bits = np.concatenate((signatures & 1, signatures >> 1 & 1), axis=1).astype(bool)
+    return np.packbits(bits, axis=1).view(np.int64)
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -100,9 +106,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks.blocks(batches):
         sets = shingle_sets(blocks.raw(block))
         filled = [s for s in sets if len(s)]
-        signatures = np.array([signature(s) for s in filled]).reshape(-1, PARITIES)
+        signatures = np.array([signature(s) for s in filled]).reshape(-1, SKETCHED)
         keys, bits = band_keys(signatures), np.zeros((len(sets), len(_WORDS)), np.int64)
-        bits[[i for i, s in enumerate(sets) if len(s)]] = parity_words(signatures)
+        bits[[i for i, s in enumerate(sets) if len(s)]] = sketch_words(signatures)
         lengths = np.array([0, *(BANDS if len(s) else 0 for s in sets)], np.int32)
         yield pa.RecordBatch.from_arrays(
             [block.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -112,7 +118,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, bits0, ...) of every row; digest is null
+    """(doc_id, n_shingles, digest, bands, low0, ..., high0, ...) of every row; digest is null
     without words."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
@@ -163,30 +169,42 @@ def _ends(frame: DataFrame, end: str, columns: list[str]) -> DataFrame:
 
 
 def _possible():
-    """Sizes and parities of the ends a and b allow the similarity."""
+    """Sizes and sketches of the ends a and b allow the similarity."""
     sizes = 100 * F.least("size_a", "size_b") >= SIMILAR_PCT * F.greatest("size_a", "size_b")
-    different = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in _WORDS), F.lit(0))
+    xor = lambda w: F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))
+    different = sum((F.bit_count(xor(x).bitwiseOR(xor(y))) for x, y in zip(_LOW, _HIGH)), F.lit(0))
     return sizes & (different <= MAX_DIFFERENT)
 
 
-def _star(shared: DataFrame, sketched: DataFrame, leader: str) -> DataFrame:
-    """(a, b): every class of ``shared`` with a leader of its bands, where possible."""
-    pairs = shared.where(F.col("node") != F.col(leader)).select(
-        F.least("node", leader).alias("node_a"), F.greatest("node", leader).alias("node_b")).distinct()
+def _star(led: DataFrame, classes: DataFrame, checked: DataFrame | None) -> DataFrame:
+    """(a, b): every class with a leader of its bands that is in another component,
+    where possible and not checked before."""
+    pairs = led.where(F.col("root") != F.col("leader_root")).select(
+        F.least("node", "leader").alias("node_a"), F.greatest("node", "leader").alias("node_b")).distinct()
     columns = ["node", "size", *_WORDS]
-    pairs = pairs.join(_ends(sketched, "a", columns), "node_a").join(
-        _ends(sketched, "b", columns), "node_b").where(_possible())
-    return materialize(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")), "minhash-star")
-
-
-def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """(band, node, root, low, high) of the bands that hold several components yet, with
-    the smallest and the largest class of the band."""
-    rooted = materialize(shared.select("band", "node").join(roots, "node", "left").select(
-        "band", "node", F.coalesce("root", "node").alias("root")), "minhash-rooted")
-    mixed = rooted.groupBy("band").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.max("node").alias("last"))
-    return rooted.join(mixed.where(F.col("least") != F.col("most")).select("band", "last"), "band")
+    pairs = pairs.join(_ends(classes, "a", columns), "node_a").join(
+        _ends(classes, "b", columns), "node_b").where(_possible())
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    if checked is not None:
+        pairs = pairs.join(checked, ["a", "b"], "left_anti")
+    return materialize(pairs, "minhash-star")
+
+
+def _led(shared: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+    """(band, node, root, leader, leader_root) of the bands that hold several components
+    yet. The leader of a band is drawn by a hash of its classes and the turn."""
+    rooted = shared.select("band", "node")
+    if roots is None:
+        rooted = rooted.withColumn("root", F.col("node"))
+    else:
+        rooted = rooted.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = materialize(rooted.select("band", "node", "root"), "minhash-rooted")
+    drawn = F.xxhash64("node", F.lit(turn))
+    bands = rooted.groupBy("band").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"),
+        F.min_by("node", drawn).alias("leader"), F.min_by("root", drawn).alias("leader_root"))
+    mixed = bands.where(F.col("least") != F.col("most")).select("band", "leader", "leader_root")
+    return materialize(rooted.join(mixed, "band"), "minhash-led")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -205,36 +223,39 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         *[F.first(c).alias(c) for c in ("bands", *_WORDS)])
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
 
-    banded = classes.select("node", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    leaders = leaders.where(F.col("first") != F.col("last")).select("band", "first")
-    shared = materialize(banded.join(leaders, "band"), "minhash-shared")
-
-    wanted = shared.select("node").distinct()
+    led = _led(classes.select("node", F.explode("bands").alias("band")), None, 0)
+    wanted = led.select("node").distinct()
     members = classes.join(wanted, "node").select(F.col("least").alias("doc_id"), "node", "digest")
     sets = materialize(_sets(documents.select("doc_id", "text").join(members, "doc_id")), "minhash-sets")
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))  # a row may be repeated
 
-    checked = _star(shared, classes, "first")
-    links = materialize(confirmed(checked, sets), "minhash-links")
-    roots = connected_components(links)
-
-    apart = materialize(_rooted(shared, roots), "minhash-apart")
-    second = _star(apart, classes, "last").join(checked, ["a", "b"], "left_anti")
-    checked = checked.unionByName(second)
-    links = links.unionByName(materialize(confirmed(second, sets), "minhash-links"))
-    roots = connected_components(links)
-
-    columns = ["band", "node", "root", "size", *_WORDS]
-    rest = materialize(_rooted(apart, roots).join(classes.select("node", "size", *_WORDS), "node").select(*columns),
-                       "minhash-rest")
+    links, checked, roots = None, None, None
+    for turn in range(1, TURNS + 1):
+        star = _star(led, classes, checked)
+        found = materialize(confirmed(star, sets), "minhash-links")
+        if found.isEmpty():
+            break
+        checked = star if checked is None else checked.unionByName(star)
+        links = found if links is None else links.unionByName(found)
+        roots = connected_components(links)
+        led = _led(led, roots, turn)
+
+    columns = ["band", "bands", "node", "root", "size", *_WORDS]
+    rest = led.select("band", "node", "root").join(classes.select("node", "bands", "size", *_WORDS), "node")
+    rest = materialize(rest.select(*columns), "minhash-rest")
     unlinked = (F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
-    pairs = _ends(rest, "a", columns).join(_ends(rest, "b", columns), F.col("band_a") == F.col("band_b")).where(
-        unlinked & _possible())
-    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    more = materialize(confirmed(pairs.join(checked, ["a", "b"], "left_anti"), sets), "minhash-links")
+    once = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("band_a")  # not in each band they share
+    pairs = _ends(rest, "a", columns).join(_ends(rest, "b", columns), (F.col("band_a") == F.col("band_b")) & (
+        unlinked & _possible() & once))
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    if checked is not None:
+        pairs = pairs.join(checked, ["a", "b"], "left_anti")
+    more = materialize(confirmed(pairs, sets), "minhash-links")
     if not more.isEmpty():
-        roots = connected_components(links.unionByName(more))
+        links = more if links is None else links.unionByName(more)
+        roots = connected_components(links)
+    if roots is None:
+        roots = classes.select("node", F.col("node").alias("root"))
 
     labelled = classes.select("digest", "node", "least").join(roots, "node", "left").select(
         "digest", "least", F.coalesce("root", "node").alias("root"))
