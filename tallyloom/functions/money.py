@@ -15,7 +15,7 @@ def to_money(col: Column) -> Column:
 
 def line_total(quantity: Column, price: Column) -> Column:
     """quantity * price, exact at scale 2; null where it does not fit an amount."""
-    return (quantity.cast("decimal(10,0)") * price.cast(MONEY)).try_cast(MONEY)
+    return (quantity.try_cast("decimal(10,0)") * to_money(price)).try_cast(MONEY)
 
 
 def money_avg(total: Column, count: Column, scale: int = 2) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,32 +18,38 @@ def run_row(spark: SparkSession, **values: object) -> DataFrame:
     return spark.createDataFrame([tuple(values.get(c) for c in ETL_RUNS.names)], ETL_RUNS)
 
 
-def open_run(spark: SparkSession, batch_id: str, mode: str, at: dt.datetime) -> DataFrame:
-    return run_row(spark, batch_id=batch_id, mode=mode, started_at=at, status="running",
-                   rows_extracted=0, rows_loaded=0, rows_quarantined=0, logged_at=at)
+def open_run(spark: SparkSession, batch_id: str, mode: str, at: dt.datetime,
+             feeds: Sequence[str] = ()) -> DataFrame:
+    return run_row(spark, batch_id=batch_id, mode=mode, started_at=at, status="running", rows_extracted=0,
+                   rows_loaded=0, rows_quarantined=0, logged_at=at, feeds=",".join(feeds))
 
 
 def close_run(spark: SparkSession, batch_id: str, mode: str, started_at: dt.datetime,
               at: dt.datetime, extracted: int, loaded: int, quarantined: int,
-              status: str, notes: str | None = None) -> DataFrame:
+              status: str, notes: str | None = None, feeds: Sequence[str] = ()) -> DataFrame:
     return run_row(spark, batch_id=batch_id, mode=mode, started_at=started_at, finished_at=at,
                    rows_extracted=extracted, rows_loaded=loaded, rows_quarantined=quarantined,
-                   status=status, notes=notes, logged_at=at)
+                   status=status, notes=notes, logged_at=at, feeds=",".join(feeds))
 
 
 def current_runs(log: DataFrame) -> DataFrame:
-    """Latest line of every run; a closing line beats the opening one."""
+    """Latest line of every run; a closing line beats the opening one, and a run that
+    has succeeded once stays so whatever is logged under its id later."""
     line = F.struct(*[c for c in ETL_RUNS.names if c != "batch_id"])
-    latest = F.max_by(line, F.struct("logged_at", F.col("status") != "running"))
+    latest = F.max_by(line, F.struct(F.col("status") == "succeeded", "logged_at", F.col("status") != "running"))
     return log.groupBy("batch_id").agg(latest.alias("run")).select("batch_id", "run.*").select(
         *ETL_RUNS.names
     )
 
 
-def last_success(runs: DataFrame) -> DataFrame:
-    """One row: start of the last succeeded run, null if there is none."""
-    done = F.when(F.col("status") == "succeeded", F.col("started_at"))
-    return runs.agg(F.max(done).alias("last_success"))
+def last_success(runs: DataFrame, feed: str | None = None) -> DataFrame:
+    """One row: start of the last succeeded run, null if there is none. With a feed,
+    only runs that extracted it count; a stream has read files, not a time range, and
+    never counts for a feed."""
+    done = F.col("status") == "succeeded"
+    if feed is not None:
+        done &= (F.col("mode") != "stream") & F.array_contains(F.split("feeds", ","), feed)
+    return runs.agg(F.max(F.when(done, F.col("started_at"))).alias("last_success"))
 
 
 def catchup_columns(now: Column, days: int = CATCH_UP_DAYS) -> tuple[Column, Column]:

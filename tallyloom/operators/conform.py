@@ -83,6 +83,8 @@ def conform_customers(raw: DataFrame, spec: SourceSpec, city_map: DataFrame,
         (F.col(at.id).isNull(), "null_id", F.lit("customer id is null")),
         (F.col(at.name).isNull(), "null_name", F.lit("customer name is null")),
         (F.col(at.signup).isNull(), "null_signup", F.lit("signup date is null")),
+        (F.col(at.signup).try_cast("date").isNull(), "invalid_signup",
+         _message("signup is no date", F.col(at.signup))),
     ]
     name = F.trim(at.name) if trim_names else F.col(at.name)
     return _judge(mapped, raw.columns, spec, at.table, rules).select(
@@ -90,7 +92,7 @@ def conform_customers(raw: DataFrame, spec: SourceSpec, city_map: DataFrame,
         name.alias("full_name"),
         F.col("_phone").alias("phone_e164"),
         F.col("_city").alias("city"),
-        F.col(at.signup).cast("date").alias("signup_date"),
+        F.col(at.signup).try_cast("date").alias("signup_date"),
         *VERDICT,
     )
 
@@ -142,9 +144,10 @@ def resolve_sk(df: DataFrame, dim: DataFrame, system: str, column: str, natural:
 
 
 def resolve_company(df: DataFrame, dim_company: DataFrame, code: str) -> DataFrame:
-    """Add ``company_sk`` of a company code; null where it is unknown."""
-    key = dim_company.where(F.col("company_code") == code).agg(F.max("company_sk").alias("company_sk"))
-    return df.crossJoin(key)
+    """Add ``company_sk`` of a company code; null where it is unknown. The one key is
+    looked up beforehand and is a constant of the plan."""
+    key = dim_company.where(F.col("company_code") == code).agg(F.max("company_sk")).first()[0]
+    return df.withColumn("company_sk", F.lit(key).cast(dim_company.schema["company_sk"].dataType))
 
 
 def conform_sales(raw: DataFrame, spec: SourceSpec, dim_customer: DataFrame, dim_product: DataFrame,
@@ -202,7 +205,7 @@ def validate_total(stored: Column, computed: Column) -> Rule:
         F.lit("inconsistent_stored_total: stored="), F.coalesce(stored.cast("string"), F.lit("null")),
         F.lit(", computed="), computed.cast("bigint").cast("string"),
     )
-    differs = ~stored.cast("decimal(20,2)").eqNullSafe(computed)
+    differs = ~stored.try_cast("decimal(20,2)").eqNullSafe(computed)
     return differs, "inconsistent_stored_total", amounts
 
 

@@ -9,25 +9,15 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.dims import first_per_key
 
-BROADCAST_KEYS = 1_000_000  # order keys of this number are some tens of megabytes
-
 
 def insert_absent(current: DataFrame | None, new: DataFrame, keys: Sequence[str],
-                  order: Sequence[str], rows: int | None = None) -> DataFrame:
-    """The rows of ``new`` to append: first copy per key, keys not stored yet.
-
-    The stored keys are first reduced to those of the batch. If ``rows``, the number
-    of rows in ``new``, is known to be small, its keys are broadcast: the stored
-    table is then scanned (the key columns only) but not shuffled.
-    """
+                  order: Sequence[str]) -> DataFrame:
+    """The rows of ``new`` to append: first copy per key, keys not stored yet. Of the
+    stored table the key columns are read and shuffled once."""
     first = first_per_key(new, keys, [F.col(c) for c in order])
     if current is None:
         return first
-    batch_keys = new.select(*keys).distinct()
-    if rows is not None and rows <= BROADCAST_KEYS:
-        batch_keys = F.broadcast(batch_keys)
-    stored = current.select(*keys).join(batch_keys, list(keys), "left_semi")
-    return first.join(stored, list(keys), "left_anti")
+    return first.join(current.select(*keys), list(keys), "left_anti")
 
 
 def orphans(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HEAVY_SHARE = 0.001  # a key with more than this share of the rows is heavy
+HEAVY_SHARE = 0.0001  # a key with more than this share of the rows is heavy
 PART_SHARE = 0.0001  # and is divided into parts of about this share
-NULL_PARTS = 4096  # rows without a key match nothing; they only have to be spread
 POSITION = "_position"
 
 
@@ -44,7 +43,7 @@ def salted_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     of ``left`` is shuffled.
     """
     # a null would meet all other nulls in one task; its stand-in only has to be spread
-    stand_in = F.concat(F.lit("null-"), F.pmod(F.col(POSITION), F.lit(NULL_PARTS)).cast("string"))
+    stand_in = F.concat(F.lit("null-"), F.col(POSITION).cast("string"))
     left = left.withColumn("_key", F.coalesce(F.col(left_key).cast("string"), stand_in))
     on = (F.col("_key") == F.col(right_key).cast("string")) & F.col(left_key).isNotNull()
     if heavy:

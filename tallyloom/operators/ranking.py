@@ -1,10 +1,11 @@
 """Ranks over a whole frame without sorting it in one task.
 
-A frame is cut into ranges by split points, literal rows taken from a small
-sample. A split point is a whole order key, so equal values are divided by the
-key that follows them, and a value shared by a third of the rows spreads over as
-many ranges as its share asks for. The sample decides only how even the ranges
-are, never the result.
+A frame is written once, range-partitioned by its whole order key, with the number of
+its partition as a column. Spark draws the limits of the ranges; equal values are
+divided by the key that follows them, so a value shared by a third of the rows spreads
+over as many ranges as its share asks for. Rows are then counted per range, counts
+become offsets by a join, and each range is numbered by itself. How even the ranges are
+never changes the result, and nothing that grows with the rows reaches the driver.
 
 Order columns are ascending with nulls first, and together unique. The frames are
 read several times: pass a stored one (``runtime.materialize``).
@@ -19,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.runtime import materialize
+
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1024
-SAMPLE_PER_RANGE = 100
 _RANGE = "_range"
 
 
@@ -40,59 +41,26 @@ def _at_or_after(order: Sequence[str], point: Sequence[Column]) -> Column:
     return result
 
 
-def split_points(df: DataFrame, order: Sequence[str], rows: int,
-                 rows_per_range: int = ROWS_PER_RANGE) -> list[tuple]:
-    """Order keys that cut ``df`` into ranges of about ``rows_per_range`` rows. What
-    reaches the driver is a sample of at most some 100 keys per range."""
-    ranges = min(MAX_RANGES, math.ceil(rows / rows_per_range))
-    if ranges < 2:
-        return []
-    every = max(1, rows // (ranges * SAMPLE_PER_RANGE))
-    picked = F.pmod(F.xxhash64(*order), F.lit(every)) == 0
-    sample = [tuple(r) for r in df.where(picked).select(*order).orderBy(*order).collect()]
-    places = (len(sample) * i // ranges for i in range(1, ranges))
-    return [sample[p] for p in dict.fromkeys(places) if 0 < p < len(sample)]
-
-
-def with_range(df: DataFrame, order: Sequence[str], points: list[tuple]) -> DataFrame:
-    """Add the number of the range a row falls into: the number of split points it
-    reaches, found by halving. The search is one fold over the step widths, so the
-    plan stays short for a thousand ranges."""
-    if not points:
-        return df.withColumn(_RANGE, F.lit(0))
-    types = dict(df.dtypes)
-    values = {
-        name: F.array(*[F.lit(p[i]) for p in points]).cast(f"array<{types[name]}>")
-        for i, name in enumerate(order)
-    }
-    widths = [1 << bit for bit in reversed(range(len(points).bit_length()))]
-
-    def halve(found: Column, width: Column) -> Column:
-        point = [F.get(values[name], found + width - 1) for name in order]
-        reached = (found + width <= len(points)) & _at_or_after(order, point)
-        return found + F.when(reached, width).otherwise(0)
-
-    return df.withColumn(_RANGE, F.aggregate(F.lit(widths), F.lit(0), halve))
-
-
-def _ranges_with_start(df: DataFrame, order: Sequence[str], points: list[tuple]
-                       ) -> tuple[DataFrame, list[int]]:
-    ranged = with_range(df, order, points)
-    sizes = [0] * (len(points) + 1)
-    for row in ranged.groupBy(_RANGE).count().collect():  # at most MAX_RANGES rows
-        sizes[row[0]] = row[1]
-    starts = [sum(sizes[:i]) for i in range(len(sizes))]
-    return ranged, starts
+def stored_ranges(df: DataFrame, order: Sequence[str], rows: int,
+                  rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the number of each row's range, stored, and (range, start, n): the
+    rows before each range and in it."""
+    ranges = max(1, math.ceil(rows / rows_per_range))
+    dealt = df.repartitionByRange(ranges, *[F.col(c).asc_nulls_first() for c in order])
+    ranged = materialize(dealt.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    counted = ranged.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    starts = counted.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return ranged, materialize(starts.select(_RANGE, "_start", "_n"), "range-starts")
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_number",
                       rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add the 1-based position of each row in the total order."""
-    points = split_points(df, order, df.count(), rows_per_range)
-    ranged, starts = _ranges_with_start(df, order, points)
+    ranged, starts = stored_ranges(df, order, df.count(), rows_per_range)
     within = F.row_number().over(W.partitionBy(_RANGE).orderBy(*order))
-    offset = F.get(F.lit([int(s) for s in starts]).cast("array<bigint>"), F.col(_RANGE))
-    return ranged.withColumn(name, within + offset).drop(_RANGE)
+    numbered = ranged.withColumn("_within", within).join(starts.select(_RANGE, "_start"), _RANGE)
+    return numbered.withColumn(name, F.col("_within") + F.col("_start")).select(*df.columns, name)
 
 
 def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], rows: int,
@@ -102,23 +70,24 @@ def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], rows: int
     wanted = sorted({r for r in ranks if 1 <= r <= rows})
     if not wanted:
         return {}
-    points = split_points(df, order, rows, rows_per_range)
-    ranged = df.select(*order).withColumn(_RANGE, F.lit(0))
-    starts = [0]
-    if points:
-        ranged, starts = _ranges_with_start(df.select(*order), order, points)
-    place = {r: max(i for i, start in enumerate(starts) if start < r) for r in wanted}
-    hit = F.lit(False)
-    for rank, at in place.items():
-        hit |= (F.col(_RANGE) == at) & (F.col("_row") == rank - starts[at])
+    ranged, starts = stored_ranges(df.select(*order), order, rows, rows_per_range)
+    holds = F.lit(False)
+    for rank in wanted:
+        holds |= (F.col("_start") < rank) & (F.col("_start") + F.col("_n") >= rank)
+    found_ranges = starts.where(holds).collect()  # at most one row per rank
+    hit, start_of = F.lit(False), {r[_RANGE]: r["_start"] for r in found_ranges}
+    for r in found_ranges:
+        for rank in wanted:
+            if r["_start"] < rank <= r["_start"] + r["_n"]:
+                hit |= (F.col(_RANGE) == r[_RANGE]) & (F.col("_row") == rank - r["_start"])
     found = (
-        ranged.where(F.col(_RANGE).isin(sorted(set(place.values()))))
+        ranged.where(F.col(_RANGE).isin(list(start_of)))
         .withColumn("_row", F.row_number().over(W.partitionBy(_RANGE).orderBy(*order)))
         .where(hit)
         .select(_RANGE, "_row", *order)
         .collect()
     )
-    return {starts[row[0]] + row[1]: tuple(row[2:]) for row in found}
+    return {start_of[row[0]] + row[1]: tuple(row[2:]) for row in found}
 
 
 def tile_starts(rows: int, tiles: int) -> list[int]:

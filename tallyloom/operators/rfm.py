@@ -39,17 +39,15 @@ def rfm_raw(fact: DataFrame, dim_customer: DataFrame, dim_company: DataFrame,
         F.sum("total_amount_syp").alias("monetary_syp"),
     ).join(dim_date.select("date_sk", "full_date"), "date_sk")
     # a scan of the date column alone; combined it is no longer than the calendar
-    as_of = fact.select("date_sk").distinct().join(dim_date, "date_sk").agg(
-        F.max("full_date").alias("as_of"))
+    as_of = fact.select("date_sk").distinct().join(dim_date, "date_sk").agg(F.max("full_date")).first()[0]
     return (
         per_customer
         .join(dim_customer.select("customer_sk", "full_name", "city", "source_system"), "customer_sk")
         .join(dim_company.select("company_sk", "company_code",
                                  F.col("company_name_en").alias("company")), "company_sk")
-        .crossJoin(as_of)
         .select(
             "customer_sk", "full_name", "city", "source_system", "company", "company_code",
-            F.date_diff("as_of", "full_date").alias("recency_days"), "frequency", "monetary_syp",
+            F.date_diff(F.lit(as_of).cast("date"), "full_date").alias("recency_days"), "frequency", "monetary_syp",
         )
     )
 

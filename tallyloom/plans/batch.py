@@ -24,7 +24,7 @@ from tallyloom.specs import SourceSpec, source_a, source_b
 
 Extract = Callable[[Reader, dt.date | None], dict[str, DataFrame]]
 ExtractOrders = Callable[[Reader, dt.date | None], DataFrame]
-HEAVY_CHECK_ROWS = 100_000  # a smaller dimension is broadcast: no need to look for heavy keys
+STALE_HOURS = 24  # a run still open after that is taken for dead
 
 
 @dataclass(frozen=True)
@@ -49,11 +49,16 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+class BatchRefused(RuntimeError):
+    """A load that would lose or repeat rows, and was not begun."""
+
+
 def resolve_since(runs: DataFrame, mode: str = "incremental", since: dt.date | None = None,
-                  now: dt.datetime | None = None) -> dt.date | None:
+                  now: dt.datetime | None = None, feed: str | None = None) -> dt.date | None:
     """Start date of a load. ``full``: none. ``since``: the given date. ``weekly``: the
     previous Sunday 02:00. ``incremental``: the day the last succeeded run started, so
-    that no week is skipped; all data if there is none."""
+    that no week is skipped; all data if there is none. With a feed, of the runs that
+    extracted it: what another feed has loaded says nothing about this one."""
     if (since is not None) != (mode == "since"):
         raise ValueError("a date goes with mode 'since', and only with it")
     if mode == "full":
@@ -64,7 +69,7 @@ def resolve_since(runs: DataFrame, mode: str = "incremental", since: dt.date | N
         moment = F.lit(now or _now())
         return runs.sparkSession.range(1).select(previous_sunday(moment).cast("date")).first()[0]
     if mode == "incremental":
-        return audit.last_success(runs).select(F.col("last_success").cast("date")).first()[0]
+        return audit.last_success(runs, feed).select(F.col("last_success").cast("date")).first()[0]
     raise ValueError(f"unknown mode: {mode}")
 
 
@@ -98,15 +103,11 @@ def conform_entities(feeds: list[Feed], extracts: list[dict[str, DataFrame]],
 def conform_orders(feeds: list[Feed], orders: list[DataFrame],
                    tables: dict[str, DataFrame]) -> DataFrame:
     """Conformed order lines of all feeds against the given dimensions."""
-    sizes = {name: tables[name].count() for name in ("dim_customer", "dim_product")}
     judged = []
     for feed, raw in zip(feeds, orders):
         at = feed.spec.orders
-        heavy = {
-            column: heavy_keys(raw, column)
-            for column, dim in ((at.customer, "dim_customer"), (at.product, "dim_product"))
-            if sizes[dim] > HEAVY_CHECK_ROWS
-        }
+        raw = materialize(raw, "orders")  # read once: the source may move between passes
+        heavy = {column: heavy_keys(raw, column) for column in (at.customer, at.product)}
         judged.append(conform.conform_sales(
             raw, feed.spec, tables["dim_customer"], tables["dim_product"],
             tables["dim_company"], tables["dim_date"], heavy,
@@ -114,6 +115,18 @@ def conform_orders(feeds: list[Feed], orders: list[DataFrame],
     return conform.union_all(judged)
 
 
+def begin_run(warehouse: Warehouse, batch_id: str, mode: str, at: dt.datetime, codes: list[str]) -> None:
+    """Open a run in the log, or refuse it."""
+    runs = warehouse.runs()
+    if not runs.where((F.col("batch_id") == batch_id) & (F.col("status") == "succeeded")).isEmpty():
+        raise BatchRefused(f"batch id {batch_id} has been loaded; give each load an id of its own")
+    recent = F.col("logged_at") > F.lit(_now() - dt.timedelta(hours=STALE_HOURS))
+    other = runs.where((F.col("batch_id") != batch_id) & (F.col("status") == "running") & recent)
+    for row in other.select("batch_id", "started_at").limit(1).collect():
+        raise BatchRefused(f"run {row.batch_id} of {row.started_at} is still open: one writer at a time")
+    warehouse.log(audit.open_run(warehouse.spark, batch_id, mode, at, codes))
+
+
 @dataclass
 class BatchResult:
     batch_id: str
@@ -130,13 +143,19 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
               now: dt.datetime | None = None) -> BatchResult:
     """Load all feeds. A dry run conforms everything, orders included, and writes
     nothing to the warehouse. A failed run is logged, its quarantine rows are kept,
-    and the error is raised again."""
+    and the error is raised again.
+
+    A batch id that has succeeded is refused, as its facts would be overwritten; one
+    that failed may be tried again. A load is refused while another one is open.
+    """
     spark = warehouse.spark
     started = now or _now()
-    start_date = resolve_since(warehouse.runs(), mode, since, started)
+    codes = [f.spec.code for f in feeds]
+    runs = warehouse.runs()
+    starts = {code: resolve_since(runs, mode, since, started, code) for code in codes}
     result = BatchResult(batch_id or str(uuid.uuid4()), mode, "running")
     if not dry_run:
-        warehouse.log(audit.open_run(spark, result.batch_id, mode, started))
+        begin_run(warehouse, result.batch_id, mode, started, codes)
     stages: list[DataFrame] = []
 
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -154,10 +173,10 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
             warehouse.write(audit.stamp_quarantine(bad, result.batch_id, started),
                             "etl_errors", result.batch_id)
         warehouse.log(audit.close_run(spark, result.batch_id, mode, started, _now(), result.extracted,
-                                      result.loaded, result.quarantined, status, notes))
+                                      result.loaded, result.quarantined, status, notes, codes))
 
     try:
-        extracts = [f.extract(f.reader, start_date) for f in feeds]
+        extracts = [f.extract(f.reader, starts[f.spec.code]) for f in feeds]
         customers, products = conform_entities(feeds, extracts, city_maps, catalogs)
         customers, products = stage(customers, "customers"), stage(products, "products")
         tables = warehouse.tables()
@@ -177,13 +196,21 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
         orders = [x[f.spec.orders.table] for f, x in zip(feeds, extracts)]
         sales = stage(conform_orders(feeds, orders, tables), "sales")
         new = insert_absent(tables["fact_sales"], conform.good_sales(sales),
-                            schemas.FACT_KEY, schemas.FACT_ORDER, sales.count())
+                            schemas.FACT_KEY, schemas.FACT_ORDER)
         new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(result.batch_id)})
         if not dry_run:
             warehouse.write(new, "fact_sales", result.batch_id)
             result.loaded = warehouse.written("fact_sales", result.batch_id).count()
+        finish("succeeded")
     except Exception as error:
-        finish("failed", f"{type(error).__name__}: {error}"[:500])
+        notes = f"{type(error).__name__}: {error}"[:500]
+        try:
+            finish("failed", notes)
+        except Exception as second:  # counting or quarantine fail too: the run must not stay open
+            error.add_note(f"while closing the run: {second}")
+            result.status = "failed"
+            if not dry_run:
+                warehouse.log(audit.close_run(spark, result.batch_id, mode, started, _now(), 0, 0, 0,
+                                              "failed", notes, codes))
         raise
-    finish("succeeded")
     return result

@@ -120,10 +120,12 @@ def city_sales(fact: DataFrame, dim_customer: DataFrame, dim_company: DataFrame,
     customers and orders."""
     company = dim_company.select("company_sk", "company_code")  # one row per company
     split = {c: F.when(F.col("company_code") == c, F.col(AMOUNT)).otherwise(0) for c in codes}
+    combined = fact.groupBy("customer_sk", "company_sk").agg(
+        F.sum(AMOUNT).alias(AMOUNT), F.count(F.lit(1)).alias("_orders"))
     # one row per customer, so counting rows counts distinct customers
-    one_row = fact.join(company, "company_sk").groupBy("customer_sk").agg(
+    one_row = combined.join(company, "company_sk").groupBy("customer_sk").agg(
         *[F.sum(col).alias(f"{c.lower()}_syp") for c, col in split.items()],
-        F.sum(AMOUNT).alias("total_syp"), F.count(F.lit(1)).alias("_orders"),
+        F.sum(AMOUNT).alias("total_syp"), F.sum("_orders").alias("_orders"),
     )
     return (
         one_row.join(dim_customer.select("customer_sk", "city"), "customer_sk")

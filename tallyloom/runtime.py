@@ -28,14 +28,27 @@ def session(app: str = "tallyloom", master: str | None = None, **conf: object) -
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: below ``spark.checkpoint.dir``, which every
-    executor can reach. Only where that is unset, as in local tests, one is made."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    executor can reach. Only in local mode, where that may be unset, one is made; on a
+    cluster each executor would write to a disk of its own and rows would be lost."""
+    base, application = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not base:
-        base = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tallyloom-{spark.sparkContext.applicationId}"
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+        base = _local_scratch.setdefault(application, tempfile.mkdtemp(prefix="tallyloom-"))
+    return f"{base.rstrip('/')}/tallyloom-{application}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Frames that were read back
+    from them can no longer be used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

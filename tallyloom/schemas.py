@@ -77,7 +77,7 @@ FACT_SALES = _table(
 )
 ETL_RUNS = _table(
     batch_id=TEXT, mode=TEXT, started_at=TIME, finished_at=TIME, rows_extracted=LONG,
-    rows_loaded=LONG, rows_quarantined=LONG, status=TEXT, notes=TEXT, logged_at=TIME,
+    rows_loaded=LONG, rows_quarantined=LONG, status=TEXT, notes=TEXT, logged_at=TIME, feeds=TEXT,
 )
 ETL_ERRORS = _table(
     batch_id=TEXT, source_system=TEXT, source_table=TEXT, source_row=TEXT, reason_code=TEXT,

@@ -2,9 +2,10 @@
 
 The stream reads by arrival (file source and checkpoint), not by order date, so an
 order that lands late is loaded however old it is. Each micro-batch is conformed,
-quarantined and inserted if absent, under a batch id made from the query name and
-the micro-batch number: after a restart the same micro-batch overwrites its own
-folders and closes its own run, and nothing is loaded twice.
+quarantined and inserted if absent, under a batch id made from the query name, the
+checkpoint's own query id and the micro-batch number: after a restart the same
+micro-batch overwrites its own folders and closes its own run, and nothing is loaded
+twice; with a new checkpoint the numbers begin again, under other ids.
 """
 
 from __future__ import annotations
@@ -19,34 +20,48 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom import schemas
 from tallyloom.operators import audit, conform
 from tallyloom.operators.facts import insert_absent
-from tallyloom.plans.batch import Feed, batch_counts, conform_orders
+from tallyloom.plans.batch import Feed, batch_counts, begin_run, conform_orders
 from tallyloom.plans.warehouse import Warehouse
 from tallyloom.runtime import materialize
 from tallyloom.sources.operational import frame_reader
 
 
 def load_micro_batch(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_id: str) -> None:
-    """Load one set of raw order rows; safe to repeat with the same id."""
+    """Load one set of raw order rows; safe to repeat with the same id. A failed one is
+    logged as such before the error is raised again."""
     started = dt.datetime.now(dt.timezone.utc)
-    spark = warehouse.spark
-    if batch_id in warehouse.succeeded():
+    spark, codes = warehouse.spark, [feed.spec.code]
+    if not warehouse.runs().where((F.col("batch_id") == batch_id) & (F.col("status") == "succeeded")).isEmpty():
         return
-    warehouse.log(audit.open_run(spark, batch_id, "stream", started))
+    begin_run(warehouse, batch_id, "stream", started, codes)
+    counts, status, notes = (0, 0, 0), "failed", None
+    try:
+        counts = _load(warehouse, feed, landed, batch_id, started)
+        status = "succeeded"
+    except Exception as error:
+        notes = f"{type(error).__name__}: {error}"[:500]
+        raise
+    finally:
+        extracted, loaded, quarantined = counts
+        warehouse.log(audit.close_run(spark, batch_id, "stream", started, dt.datetime.now(dt.timezone.utc),
+                                      extracted, loaded, quarantined, status, notes, codes))
+
+
+def _load(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_id: str,
+          started: dt.datetime) -> tuple[int, int, int]:
+    """Rows extracted, loaded and quarantined."""
     table = feed.spec.orders.table
     stored = materialize(landed, "landed")
     orders = feed.extract_orders(frame_reader({table: stored}), None)
     tables = warehouse.tables()
     judged = materialize(conform_orders([feed], [orders], tables), "sales")
-    new = insert_absent(tables["fact_sales"], conform.good_sales(judged),
-                        schemas.FACT_KEY, schemas.FACT_ORDER, judged.count())
+    new = insert_absent(tables["fact_sales"], conform.good_sales(judged), schemas.FACT_KEY, schemas.FACT_ORDER)
     new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(batch_id)})
     warehouse.write(new, "fact_sales", batch_id)
     bad = conform.split_quarantine(judged)[1]
     warehouse.write(audit.stamp_quarantine(bad, batch_id, started), "etl_errors", batch_id)
     extracted, quarantined = batch_counts([judged]).first()
-    loaded = warehouse.written("fact_sales", batch_id).count()
-    warehouse.log(audit.close_run(spark, batch_id, "stream", started, dt.datetime.now(dt.timezone.utc),
-                                  extracted, loaded, quarantined, "succeeded"))
+    return extracted, warehouse.written("fact_sales", batch_id).count(), quarantined
 
 
 def stream_orders(warehouse: Warehouse, feed: Feed, schema: T.StructType, landing: str,
@@ -55,11 +70,17 @@ def stream_orders(warehouse: Warehouse, feed: Feed, schema: T.StructType, landin
     reader = warehouse.spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def load(landed: DataFrame, epoch: int) -> None:
+        # the id that the checkpoint keeps: Spark sets it on the thread of each micro-batch
+        query = warehouse.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load_micro_batch(warehouse, feed, landed, f"{name}-{query}-{epoch}")
+
     return (
         reader.parquet(landing)
         .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda df, epoch: load_micro_batch(warehouse, feed, df, f"{name}-{epoch}"))
+        .foreachBatch(load)
         .start()
     )

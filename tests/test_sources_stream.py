@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import DAY, feeds, rows, source_frames
 
 from tallyloom import schemas
@@ -94,8 +95,8 @@ def streaming(spark, warehouse, city_maps, catalogs, tmp_path):
     def land(*orders):
         spark.createDataFrame(list(orders), schemas.LAYOUT_A["orders"]).coalesce(1).write.mode("append").parquet(landing)
 
-    def run():
-        stream_orders(warehouse, feed, schemas.LAYOUT_A["orders"], landing, str(tmp_path / "checkpoint"),
+    def run(checkpoint="checkpoint"):
+        stream_orders(warehouse, feed, schemas.LAYOUT_A["orders"], landing, str(tmp_path / checkpoint),
                       "orders-a", files_per_batch=1).awaitTermination()
         return rows(warehouse.tables()["fact_sales"], "source_order_id", "quantity")
 
@@ -116,6 +117,37 @@ def test_stream_loads_each_order_once(streaming):
     assert rows(warehouse.errors(), "reason_code") == [("no_customer",)]
 
 
+def test_a_new_checkpoint_loses_no_file(streaming):
+    land, run, _, warehouse = streaming
+    land(order("a"))
+    run()
+    land(order("b"))
+    assert run("second") == [("a", 1), ("b", 1)]
+    assert {r.status for r in warehouse.runs().collect()} == {"succeeded"}
+
+
+def test_a_failed_micro_batch_is_logged(spark, streaming):
+    _, _, feed, warehouse = streaming
+    broken = spark.createDataFrame([order("a")], schemas.LAYOUT_A["orders"]).withColumn(
+        "order_id", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception):
+        load_micro_batch(warehouse, feed, broken, "orders-a-x")
+    assert rows(warehouse.runs().where("batch_id = 'orders-a-x'"), "status") == [("failed",)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        applicationId, master = "app-1", "spark://host:7077"
+
+    class Session:
+        sparkContext, conf = Context, {}
+
+    with pytest.raises(RuntimeError):
+        scratch_dir(Session)
+    Context.master = "local[2]"
+    assert scratch_dir(Session) == scratch_dir(Session) and Session.conf == {}
+
+
 def test_stream_equals_batch(spark, streaming, city_maps, catalogs, tmp_path):
     land, run, _, warehouse = streaming
     orders = [order(f"o{i}", 1 + i % 2, 1 + i % 4) for i in range(20)] + [order("o3", 1, 9)]
