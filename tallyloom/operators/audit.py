@@ -44,11 +44,11 @@ def current_runs(log: DataFrame) -> DataFrame:
 
 def last_success(runs: DataFrame, feed: str | None = None) -> DataFrame:
     """One row: start of the last succeeded run, null if there is none. With a feed,
-    only runs that extracted it count; a stream has read files, not a time range, and
-    never counts for a feed."""
+    only full and incremental runs that extracted it count: a load from a given date may
+    leave a gap before that date, and a stream has read files, not a time range."""
     done = F.col("status") == "succeeded"
     if feed is not None:
-        done &= (F.col("mode") != "stream") & F.array_contains(F.split("feeds", ","), feed)
+        done &= F.col("mode").isin("full", "incremental") & F.array_contains(F.split("feeds", ","), feed)
     return runs.agg(F.max(F.when(done, F.col("started_at"))).alias("last_success"))
 
 

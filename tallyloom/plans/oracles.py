@@ -479,6 +479,7 @@ def oracle_sql() -> dict[str, str]:
               (SELECT COUNT(*) FROM fact_sales) AS rows_loaded, (SELECT COUNT(*) FROM errors) AS rows_quarantined"""),
         "C12_two_batches": _sql("", """SELECT 'since' AS mode, (SELECT COUNT(*) FROM fact_sales WHERE date_sk >= 19990101) AS rows_loaded, 'succeeded' AS status
             UNION ALL SELECT 'full', (SELECT COUNT(*) FROM fact_sales WHERE date_sk < 19990101), 'succeeded'"""),
+        "C12_load_life_cycle": _sql("", f"SELECT company_sk, source_order_id, date_sk, customer_sk, product_sk, quantity, {money('total_amount_syp')} AS total_amount_syp FROM fact_sales"),
         # -- reports
         "D1_company_totals": _sql(_COMPANY, f"SELECT company_code, company_name_en, {money('total')} AS total_sales_syp, orders AS order_count, {pct('total', 'everything')} AS share_pct FROM company, national"),
         "D2_company_totals_customers": _sql(_COMPANY, f"SELECT company_code, company_name_en, {money('total')} AS total_sales_syp, orders AS order_count, customers AS customer_count, {pct('total', 'everything')} AS share_pct, {avg('total', 'orders')} AS avg_order_syp FROM company, national"),
@@ -564,6 +565,12 @@ def oracle_sql() -> dict[str, str]:
         "G5_rank_small": _sql(_CITY, "SELECT city, row_number() OVER (ORDER BY total DESC, city) AS rank FROM city"),
         # -- checks
         **{key: _sql("", select) for key, select in _CHECKS.items()},
+        "I6_company_rows": _sql("", _check(
+            "dim_company_rows", "n = 2", "n",
+            "(SELECT COUNT(*) AS n FROM dim_company WHERE company_sk IN (SELECT company_sk FROM fact_sales))")),
+        "I7_calendar_rows": _sql("", _check(
+            "dim_date_rows", "n >= 1825", "n",
+            "(SELECT date_diff('day', MIN(CAST(o_orderdate AS DATE)), MAX(CAST(o_orderdate AS DATE))) + 1 AS n FROM orders)")),
         "I8_all_checks": _sql("", " UNION ALL ".join(_CHECKS.values())),
         "I9_contract_profile": _sql("", """SELECT 'OPA' AS company_code, d AS dimension, o AS observed, CAST(NULL AS DOUBLE) AS rate FROM (VALUES ('table_naming', 'customers,products,orders'), ('key_type', 'bigint'),
               ('city_column', 'cities.city_ar:string'), ('price_type', 'int'), ('total_column', 'bigint'), ('date_shape', 'timestamp')) v(d, o)

@@ -255,12 +255,10 @@ def test_one_bad_row_is_quarantined(spark, warehouse, city_maps, catalogs):
     text = lambda df: df.select(*[F.col(c).cast("string") for c in df.columns])
     frames = source_frames(spark, orders=[
         (f"o{i}", 1, 10, 1, 100, 100, DAY) for i in range(6)])
-    wrong = {"o1": ("quantity", "x"), "o2": ("unit_price_at_sale", "n/a"), "o3": ("unit_price_at_sale", "1e14"),
-             "o4": ("quantity", "99999999999"), "o5": ("order_date", "no day")}
     raw = text(frames["orders"])
-    ids, names = raw.columns[0], raw.columns
-    for order_id, (column, value) in wrong.items():
-        column = next(c for c in names if column.split("_")[0] in c)
+    ids, _, _, quantity, price, _, day = raw.columns
+    for order_id, column, value in (("o1", quantity, "x"), ("o2", price, "n/a"), ("o3", price, "1e14"),
+                                    ("o4", quantity, "99999999999"), ("o5", day, "no day")):
         raw = raw.withColumn(column, F.when(F.col(ids) == order_id, F.lit(value)).otherwise(F.col(column)))
     customers = text(frames["customers"])
     signup = customers.columns[-1]
