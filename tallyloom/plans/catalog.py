@@ -589,6 +589,11 @@ def _(m):
     return reports.city_bars(cities_of(m), CODE_A)
 
 
+@mart_query("D16_governorate_bars")
+def _(m):
+    return reports.governorate_bars(governorates_of(m), CODE_A)
+
+
 @mart_query("D17_governorate_panel")
 def _(m):
     return rounded(reports.governorate_panel(governorates_of(m)), total_m=6)

@@ -516,6 +516,10 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT lower(n_name) AS id, n_name AS name, 'مدينة ' || n_nationkey AS ar FROM nation WHERE n_nationkey < 21 UNION ALL SELECT 'nowhere', 'NOWHERE', 'مدينة ')
             LEFT JOIN city ON city = name"""),
         "D16_city_bars": _sql(_CITY, f"""SELECT city, {pct('total', '(SELECT MAX(total) FROM city)')} AS bar_pct, {pct('opa', 'total')} AS split_pct FROM city ORDER BY total DESC, city LIMIT 8"""),
+        "D16_governorate_bars": _sql(_CITY, f"""SELECT id, name, row_number() OVER (ORDER BY coalesce(total, 0) DESC, id) AS rank,
+              coalesce({pct('total', '(SELECT MAX(total) FROM city JOIN nation ON n_name = city WHERE n_nationkey < 21)')}, 0) AS bar_pct, coalesce({pct('opa', 'total')}, 50) AS split_pct
+            FROM (SELECT lower(n_name) AS id, n_name AS name FROM nation WHERE n_nationkey < 21 UNION ALL SELECT 'nowhere', 'NOWHERE')
+            LEFT JOIN city ON city = name"""),
         "D17_governorate_panel": _sql(_CITY, """SELECT round(CAST(SUM(total) AS DOUBLE) / 1e6, 6) AS total_m, SUM(customers) AS total_customers, arg_max(city, total) AS top_region
             FROM city JOIN nation ON n_name = city WHERE n_nationkey < 21"""),
         # -- customer segments

@@ -183,6 +183,20 @@ def city_bars(cities: DataFrame, code: str, k: int = 8) -> DataFrame:
     )
 
 
+def governorate_bars(governorates: DataFrame, code: str) -> DataFrame:
+    """A bar for every governorate, those without sales too: length in percent of the
+    largest, and the share of one company in percent (50 without sales)."""
+    def amount(name: str) -> Column:
+        return F.round(F.col(name) * 1e6, 2).cast("decimal(28,2)")
+
+    largest = F.max(amount("total_m")).over(W.partitionBy())  # one row per governorate
+    return governorates.withColumn("_max", largest).select(
+        "id", "name", "rank",
+        F.coalesce(pct(amount("total_m"), F.col("_max")), F.lit(0)).alias("bar_pct"),
+        F.coalesce(pct(amount(f"{code.lower()}_m"), amount("total_m")), F.lit(50)).alias("split_pct"),
+    )
+
+
 def governorate_panel(governorates: DataFrame) -> DataFrame:
     """One row: revenue in millions, customers, region with the highest revenue."""
     return governorates.agg(
