@@ -24,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere first. ``n_chars`` follows."""
-    deduped = line_chunks.dedup_lines(docs)
+    deduped = line_chunks.dedup_passages(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType.simpleString()
         deduped = deduped.selectExpr(

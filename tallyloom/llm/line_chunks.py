@@ -11,6 +11,11 @@ Bytes are compared by grouping on the bytes themselves, combined in each task fi
 a passage with a third of all rows sends one row per task. Chunks that are alone keep
 to their own task's row. Afterwards only digests travel; a digest that stands for
 several texts is set aside and never removes anything.
+
+Chunks miss passages whose ends lie inside them. So every line also begins, and ends,
+a window: the fewest lines with more than ``LONG_LINE`` words. A repeated run of lines
+with more words than that is the union of its windows, whatever stands around it.
+Windows are grouped by hashes; the bytes of those that meet are then compared.
 """
 
 from __future__ import annotations
@@ -18,12 +23,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import blocks
+from tallyloom.runtime import materialize
 
 #: One line in so many begins a chunk.
 EVERY = 2
@@ -120,7 +127,113 @@ def removals(documents: DataFrame) -> DataFrame:
     return found.groupBy("_row", "doc_id").agg(F.collect_set("place").alias("_places"))
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
+# -- windows of lines ------------------------------------------------------------
+
+def line_windows(texts: list[bytes | None], words: int = LONG_LINE) -> tuple[np.ndarray, ...]:
+    """(text, first line, last line, hash, check) of the windows of several texts: from
+    each line on, and up to each line, the fewest lines with more than ``words`` words.
+    Lines without words count nothing and are skipped."""
+    owner, places, sizes, hashes = [], [], [], []
+    for i, text in enumerate(texts):
+        for at, line in enumerate((text or b"").split(b"\n")):
+            n = len(line.split())
+            if n:
+                owner.append(i)
+                places.append(at)
+                sizes.append(n)
+                hashes.append(xxhash.xxh3_64_intdigest(line))
+    owner, places, sizes = (np.array(x, np.int64) for x in (owner, places, sizes))
+    hashes, n = np.array(hashes, np.uint64), len(owner)
+    if not n:
+        return owner, owner, owner, owner, owner
+    until = np.cumsum(sizes)
+    before = until - sizes
+    lines = np.arange(n)
+    end = np.searchsorted(until, before + words + 1)
+    begin = np.searchsorted(before, until - words - 1, side="right") - 1
+    pairs = np.concatenate((np.stack((lines, end)), np.stack((begin, lines))), axis=1)
+    pairs = pairs[:, (pairs[0] >= 0) & (pairs[1] < n)]
+    pairs = pairs[:, owner[pairs[0]] == owner[pairs[1]]]
+    first, last = np.divmod(np.unique(pairs[0] * n + pairs[1]), n)
+    up, down = blocks._power(n + 1)
+    found = []
+    for value in (hashes, blocks.mix(hashes ^ np.uint64(_ROLL))):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * up[:-1], dtype=np.uint64)))
+        found.append(blocks.mix((total[last + 1] - total[first]) * down[first]).view(np.int64))
+    return owner[first], places[first], places[last], *found
+
+
+def window_rows(documents: DataFrame) -> DataFrame:
+    """(_row, doc_id, place, stop, hash, check) of every window."""
+    names = ["_row", "doc_id", "place", "stop", "hash", "check"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks.blocks(batches):
+            owner, place, stop, hashes, check = line_windows(blocks.raw(block))
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [block.column("_row").take(take), block.column("doc_id").take(take), pa.array(place.astype(np.int32)),
+                 pa.array(stop.astype(np.int32)), pa.array(hashes), pa.array(check)], names)
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select(_row(), "doc_id", "text").mapInArrow(
+        cut, f"_row BIGINT, doc_id {kind}, place INT, stop INT, hash BIGINT, check BIGINT")
+
+
+def _worded(lines: list[bytes], start: int, stop: int) -> list[int]:
+    return [i for i in range(start, stop + 1) if lines[i].strip(blocks.WHITE)]
+
+
+def _one_text(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """(hash, check) of the found windows all of whose places have the same bytes."""
+    spans = found.groupBy("_row", "doc_id").agg(  # the windows of one document
+        F.collect_set(F.struct("place", "stop", "hash", "check")).alias("_spans")).withColumnsRenamed(
+        {"_row": "_gone_row", "doc_id": "_gone_id"})
+    own = (F.col("_row") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
+    texts = documents.select(_row(), "doc_id", "text").join(spans, own).select("text", "_spans")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks.blocks(batches):
+            rows = set()
+            for text, spans in zip(blocks.raw(block), block.column("_spans").to_pylist()):
+                lines = text.split(b"\n")
+                for x in spans:
+                    window = b"\n".join([lines[i] for i in _worded(lines, x["place"], x["stop"])])
+                    rows.add((x["hash"], x["check"], window))
+            hashes, check, windows = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes, pa.int64()), pa.array(check, pa.int64()), pa.array(windows, pa.binary())],
+                ["hash", "check", "window"])
+
+    # equal bytes meet here: this grouping is the comparison
+    same = texts.mapInArrow(read, "hash BIGINT, check BIGINT, window BINARY").groupBy("hash", "check", "window").agg(
+        F.lit(1).alias("_one"))
+    return same.groupBy("hash", "check").agg(F.count(F.lit(1)).alias("_texts")).where(F.col("_texts") == 1).drop("_texts")
+
+
+def window_removals(documents: DataFrame) -> DataFrame:
+    """(_row, doc_id, spans): first and last lines to remove of each document, since they
+    stand earlier in a repeated window. A window that overlaps its own first place gives
+    up only what lies behind that."""
+    rows = window_rows(documents)
+    place = F.struct("doc_id", "_row", "place", "stop")
+    repeated = rows.groupBy("hash", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    repeated = repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "check", "first")
+    found = materialize(rows.join(repeated, ["hash", "check"]), "line-windows")
+    sure = found.join(_one_text(documents, found), ["hash", "check"])
+    here = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first._row") == F.col("_row"))
+    start = F.when(here, F.greatest("place", F.col("first.stop") + 1)).otherwise(F.col("place"))
+    gone = sure.select("_row", "doc_id", start.alias("place"), "stop").where(F.col("place") <= F.col("stop"))
+    return gone.groupBy("_row", "doc_id").agg(F.collect_set(F.struct("place", "stop")).alias("_spans"))
+
+
+def dedup_passages(documents: DataFrame) -> DataFrame:
+    """``dedup_lines``, and also without every run of lines of more than ``LONG_LINE``
+    words that stands elsewhere first, whatever stands around it."""
+    return dedup_lines(documents, True)
+
+
+def dedup_lines(documents: DataFrame, passages: bool = False) -> DataFrame:
     """All columns of ``documents``, ``text`` without the chunks that stand elsewhere
     first, and n_removed_lines, n_removed_words, one row for each row.
 
@@ -133,22 +246,33 @@ def dedup_lines(documents: DataFrame) -> DataFrame:
     counts = ["n_removed_lines", "n_removed_words"]
     names = [c for c in documents.columns if c not in counts]
     others = [c for c in names if c != "text"]
-    gone = removals(documents).withColumnsRenamed({"_row": "_gone_row", "doc_id": "_gone_id"})
+    gone = removals(documents)
+    if passages:
+        spans = window_removals(documents).select("_row", "doc_id", F.lit(None).alias("_places"), "_spans")
+        # one row of each kind for a document at most
+        gone = gone.withColumn("_spans", F.lit(None)).unionByName(spans).groupBy("_row", "doc_id").agg(
+            F.max("_places").alias("_places"), F.max("_spans").alias("_spans"))
+    else:
+        gone = gone.withColumn("_spans", F.lit(None).cast("array<struct<place:int,stop:int>>"))
+    gone = gone.withColumnsRenamed({"_row": "_gone_row", "doc_id": "_gone_id"})
     # other columns travel as one struct, so that no name of theirs can clash
     whole = documents.select(F.struct(*others).alias("_whole"), "text", _row())
     own = (F.col("_row") == F.col("_gone_row")) & F.col("_whole.doc_id").eqNullSafe(F.col("_gone_id"))
-    whole = whole.join(gone, own, "left").select("_whole", "text", "_places")
+    whole = whole.join(gone, own, "left").select("_whole", "text", "_places", "_spans")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks.blocks(batches):
             texts, removed = [], []
-            for text, starts in zip(blocks.raw(block), block.column("_places").to_pylist()):
-                if not starts:
+            for text, starts, spans in zip(
+                    blocks.raw(block), block.column("_places").to_pylist(), block.column("_spans").to_pylist()):
+                if not starts and not spans:
                     texts.append(text)
                     removed.append((0, 0))
                     continue
-                lines, starts = text.split(b"\n"), set(starts)
-                drop = {i for at in chunk_places(lines) if at[0] in starts for i in at}
+                lines, starts = text.split(b"\n"), set(starts or ())
+                drop = {i for at in chunk_places(lines) if at[0] in starts for i in at} if starts else set()
+                spanned = {i for x in spans or () for i in range(x["place"], x["stop"] + 1)}
+                drop.update(i for i in spanned if lines[i].strip(blocks.WHITE))
                 texts.append(b"\n".join([line for i, line in enumerate(lines) if i not in drop]))
                 removed.append((len(drop), sum(len(lines[i].split()) for i in drop)))
             yield pa.RecordBatch.from_arrays(

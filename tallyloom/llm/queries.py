@@ -44,7 +44,7 @@ def byte_subwords() -> Subwords:
 
 
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    deduped = line_chunks.dedup_lines(table(spark, folder, "documents"))
+    deduped = line_chunks.dedup_passages(table(spark, folder, "documents"))
     return deduped.select("doc_id", "text", "n_removed_lines", "n_removed_words")
 
 

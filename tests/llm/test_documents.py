@@ -136,6 +136,47 @@ def test_chunks_resist_shifts():
     assert len(plain & shifted) >= 0.8 * len(plain)
 
 
+def test_passages_are_removed_whole_in_any_host(spark):
+    """Each repeated run of over 50 words goes, found by comparing all runs of lines."""
+    rng = random.Random(11)
+    fresh = iter(range(10**6))
+    own = lambda n: [" ".join(f"w{next(fresh)}" for _ in range(rng.choice([3, 9, 20]))) for _ in range(n)]
+    rows = []
+    for k in range(2, 9):
+        lines = own(k)
+        lines[-1] += " " + " ".join(f"w{next(fresh)}" for _ in range(max(0, 51 - sum(len(x.split()) for x in lines))))
+        for _ in range(3):
+            host = own(6)
+            at = rng.randrange(7)
+            rows.append([*host[:at], *lines[:1], "", *lines[1:], *host[at:]])
+    short = [" ".join(f"w{next(fresh)}" for _ in range(50))]
+    rows += [[*own(1), *short, *own(1)] for _ in range(2)]
+    rows += [["a b c d e f g h i j"] * 20, [*own(2), *rows[0], *own(2)]]
+    seen, want = set(), []
+    for lines in rows:
+        worded = [i for i, x in enumerate(lines) if x.strip()]
+        runs = [(a, b) for a in range(len(worded)) for b in range(a, len(worded))
+                if sum(len(lines[i].split()) for i in worded[a:b + 1]) > 50]
+        text = lambda a, b: tuple(lines[i] for i in worded[a:b + 1])
+        drop, first = set(), {}
+        for a, b in runs:
+            if text(a, b) in seen:
+                drop.update(worded[a:b + 1])
+            else:
+                at = first.setdefault(text(a, b), b)
+                drop.update(i for i in worded[a:b + 1] if at < b and i > worded[at])
+        seen.update(text(a, b) for a, b in runs)
+        want.append([x for i, x in enumerate(lines) if i not in drop])
+    docs = spark.createDataFrame([(i, "\n".join(x), "k", "s", "r") for i, x in enumerate(rows)], SCHEMA).repartition(3)
+    got = {r.doc_id: r for r in line_chunks.dedup_passages(docs).collect()}
+    passages = len(rows) - 4
+    for i, lines in enumerate(want):
+        if i not in (passages + 2,):  # lines of one word sequence also form equal chunks
+            assert got[i].text.split("\n") == lines, i
+    assert sum(r.n_removed_lines for r in got.values()) > 60
+    assert 5 <= len(got[passages + 2].text.split("\n")) <= 6 and len(got) == len(rows)
+
+
 def test_long_lines_and_small_chunks():
     long = b"word " * 51
     assert line_chunks.chunk_places([long.strip()]) == [[0]]
