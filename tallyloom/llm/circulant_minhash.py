@@ -111,18 +111,18 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits[[i for i, s in enumerate(sets) if len(s)]] = sketch_words(signatures)
         lengths = np.array([0, *(BANDS if len(s) else 0 for s in sets)], np.int32)
         yield pa.RecordBatch.from_arrays(
-            [block.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+            [block.column("doc_id"), block.column("_key"), pa.array([len(s) for s in sets], pa.int64()),
              pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
              pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(keys.ravel())), *map(pa.array, np.ascontiguousarray(bits.T))],
-            ["doc_id", "n_shingles", "digest", "bands", *_WORDS])
+            ["doc_id", "_key", "n_shingles", "digest", "bands", *_WORDS])
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, low0, ..., high0, ...) of every row; digest is null
-    without words."""
+    """(doc_id, _key, n_shingles, digest, bands, low0, ..., high0, ...) of every row; digest is
+    null without words. Rows that repeat a doc_id differ in ``_key`` if their texts do."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        _sketch, f"doc_id {kind}, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>, "
+    return documents.select("doc_id", "text", F.xxhash64("text").alias("_key")).mapInArrow(
+        _sketch, f"doc_id {kind}, _key BIGINT, n_shingles BIGINT, digest BINARY, bands ARRAY<BIGINT>, "
                  + ", ".join(f"{w} BIGINT" for w in _WORDS))
 
 
@@ -215,6 +215,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     and it is kept. Rows that repeat a doc_id are sketched each for itself; a component
     has the smallest doc_id of its rows. Other columns are not looked at.
     """
+    return _judged(documents).drop("_key")
+
+
+def _judged(documents: DataFrame) -> DataFrame:
+    """``near_duplicates`` with the ``_key`` of each row."""
     sketched = materialize(sketches(documents), "minhash-sketches")
     usable = sketched.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     # a class has the band keys of any of its rows: they are all the same
@@ -261,13 +266,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "digest", "least", F.coalesce("root", "node").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     component = labelled.join(least, "root").select("digest", "component_id")
-    judged = sketched.select("doc_id", "n_shingles", "digest").join(component, "digest", "left")
+    judged = sketched.select("doc_id", "_key", "n_shingles", "digest").join(component, "digest", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return judged.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
+    return judged.select("doc_id", "_key", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """The documents that stand for their component, all columns unchanged."""
-    gone = near_duplicates(documents).where(~F.col("kept")).select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    """The rows that stand for their component, all columns unchanged. Of rows that repeat
+    a doc_id only those go that are near copies themselves."""
+    gone = _judged(documents).where(~F.col("kept")).select(
+        F.col("doc_id").alias("_gone_id"), F.col("_key").alias("_gone_key")).distinct()
+    return documents.join(
+        gone, (documents["doc_id"] == F.col("_gone_id")) & (F.xxhash64(documents["text"]) == F.col("_gone_key")), "left_anti")

@@ -200,12 +200,12 @@ def search_block(documents: DataFrame, queries: Queries) -> DataFrame:
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BENCHMARK_BLOCK_BYTES) -> Iterator[Queries]:
     """The benchmark in blocks of about ``block_bytes`` of text, one at a time."""
-    items = benchmark.where(F.col("item_id").isNotNull()).select(
+    items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / block_bytes))
     for part in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id")
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id")
         yield prepare([(r.item_id, None if r.text is None else bytes(r.text)) for r in own.collect()])
 
 
@@ -222,13 +222,14 @@ def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = batch.to_pylist()
         hit = [_covered(r["spans"]) for r in rows]
-        items = [sorted(set(r["items"]), key=lambda i: i.encode()) for r in rows]
+        found = [set(r["items"]) for r in rows]
+        items = [sorted(f - {None}, key=lambda i: i.encode()) for f in found]
         digests = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
         dirty = [h > 0 and SHARE * h >= r["n_words"] for h, r in zip(hit, rows)]
         keep = [c for c in batch.schema.names if c not in ("spans", "items", "longest")]
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in keep), pa.array(hit, pa.int64()),
-             pa.array([len(i) for i in items], pa.int64()), pa.array(digests, pa.string()),
+             pa.array([len(f) for f in found], pa.int64()), pa.array(digests, pa.string()),
              pa.array(dirty, pa.bool_()), batch.column("longest"), batch.column("spans")],
             [*keep, "n_hit", "n_items", "items_sha256", "contaminated", "longest", "spans"])
 
@@ -261,8 +262,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame,
     """One row per row of ``documents``: doc_id, n_words, n_hit, n_items, items_sha256,
     contaminated, the longest verbatim match and the matched word spans.
 
-    A null or empty text has no words and no hits. Items without words or id occur
-    nowhere; items with the same words are all listed. Repeated document rows are
+    A null or empty text has no words and no hits. Items without words occur
+    nowhere; items with the same words are all listed. Items without id count as one item
+    and are not listed. Repeated document rows are
     judged each for itself. Other columns are not looked at.
     """
     merged = _all_blocks(documents.select("doc_id", "text"), benchmark, block_bytes)

@@ -328,6 +328,20 @@ def test_longest_match_and_places(spark):
     assert r.longest == 25 and [(s.start, s.length) for s in r.spans] == [(2, 25), (28, 13)]
 
 
+def test_rows_under_one_id_and_items_without_id(spark):
+    rng = random.Random(8)
+    one, other = prose(rng, 120), " ".join(f"u{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, one), (2, one), (2, other), (3, None)], "doc_id BIGINT, text STRING")
+    kept = circulant_minhash.drop_near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, one), (2, other), (3, "")])
+    bench = spark.createDataFrame([(None, other), (None, "zz " * 20), (7, "yy " * 20)], "item_id BIGINT, text STRING")
+    for block_bytes in (50, 1 << 20):
+        found = {r.doc_id: r for r in suffix_decon.contamination(docs.where("text like 'u0%' or doc_id = 1"), bench, block_bytes).collect()}
+        assert (found[2].n_hit, found[2].contaminated, found[2].n_items) == (80, True, 1)
+        assert found[2].items_sha256 == hashlib.sha256(b"").hexdigest() and found[1].n_hit == 0
+        assert other not in {r.text for r in suffix_decon.decontaminate(docs, bench, block_bytes).collect()}
+
+
 def test_decontamination_empty(spark, nothing, documents):
     none = spark.createDataFrame([], "item_id BIGINT, text STRING")
     assert suffix_decon.contamination(nothing, none).count() == 0
