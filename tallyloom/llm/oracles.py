@@ -120,10 +120,33 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 """
 
 
+FILL_IN_MIDDLE = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+  SELECT doc_id, t, n, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS y,
+    CAST('0x' || h[17:24] AS BIGINT) % 100 AS share, CAST('0x' || h[25:32] AS BIGINT) % 100 AS turned FROM drawn
+), parts AS (
+  SELECT doc_id, t, n, least(x, y) AS a, greatest(x, y) AS b,
+    CASE WHEN n = 0 OR share >= 90 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+      WHEN turned < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || t[1:a] || '<S>' || t[b + 1:] || '<M>' || t[a + 1:b]
+    ELSE '<S>' || t[b + 1:] || '<P>' || t[1:a] || '<M>' || t[a + 1:b] END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_chat_formatting": CHAT,
         "op7_benchmark_decontamination": DECONTAMINATION,
         "op8_minhash_near_dedup": NEAR_DEDUP,
         "op9_secret_scan": SECRETS,
+        "op12_fill_in_middle": FILL_IN_MIDDLE,
     }

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with their production parameters."""
+"""Registered queries of the operators, with their production parameters."""
 
 from __future__ import annotations
 
@@ -11,10 +11,13 @@ from tallyloom.llm import (
     attention_lm,
     bin_slack,
     circulant_minhash,
+    fill_middle,
     line_chunks,
+    patched_blocks,
     prefix_chat,
     pu_quality,
     secret_ownership,
+    shifted_qr,
     suffix_decon,
     target_llr,
     url_rules,
@@ -99,6 +102,23 @@ def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return patched_blocks.token_files(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    turned = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    return turned.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"))
+
+
+def embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return shifted_qr.whiten(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": line_dedup,
@@ -111,4 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": minhash,
         "op9_secret_scan": secret_scan,
         "op10_url_filter": url_filter,
+        "op11_token_files": token_files,
+        "op12_fill_in_middle": fill_in_middle,
+        "op13_embedding_whitening": embedding_whitening,
     }

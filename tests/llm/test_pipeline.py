@@ -25,7 +25,7 @@ def test_stages_keep_the_columns_and_take_effect(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_on_an_empty_table(spark):
