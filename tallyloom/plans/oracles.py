@@ -465,8 +465,10 @@ def oracle_sql() -> dict[str, str]:
         "C4_resolve_sk": _sql("", "SELECT source_order_id AS order_id, natural_customer AS customer_id, customer_sk FROM sales_resolved WHERE source_system = 'OPA'"),
         "C6_insert_absent": _sql("", f"SELECT company_sk, source_order_id, date_sk, product_sk, quantity, {money('total_amount_syp')} AS total_amount_syp FROM fact_sales WHERE date_sk >= 19980101"),
         "C7_upsert_counts": _sql(_TWO_LOADS, "SELECT (SELECT COUNT(*) FROM added) AS inserted, (SELECT COUNT(*) FROM incoming) - (SELECT COUNT(*) FROM added) AS updated"),
-        "C8_run_log": """SELECT user_id AS batch_id, arg_max(CASE WHEN event_type IN ('error') THEN 'failed' WHEN event_type = 'view' THEN 'running' ELSE 'succeeded' END, ts) AS status,
-              MAX(ts) AS logged_at FROM events GROUP BY user_id""",
+        "C8_run_log": """SELECT batch_id, line.status AS status, line.ts AS logged_at FROM (
+              SELECT user_id AS batch_id, arg_max({'status': status, 'ts': ts}, (status = 'succeeded', ts, status <> 'running')) AS line FROM (
+                SELECT user_id, ts, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'running' ELSE 'succeeded' END AS status FROM events)
+              GROUP BY user_id)""",
         "C9_constraints": _sql("", """SELECT 'customer_sk is not null' AS "constraint", COUNT(*) FILTER (customer_sk IS NULL) AS violations FROM sales_judged
             UNION ALL SELECT 'product_sk is not null', COUNT(*) FILTER (product_sk IS NULL) FROM sales_judged
             UNION ALL SELECT 'quantity > 0', COUNT(*) FILTER (quantity <= 0) FROM sales_judged

@@ -40,7 +40,9 @@ def scratch_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
-        base = _local_scratch.setdefault(application, tempfile.mkdtemp(prefix="tallyloom-"))
+        if application not in _local_scratch:
+            _local_scratch[application] = tempfile.mkdtemp(prefix="tallyloom-")
+        base = _local_scratch[application]
     return f"{base.rstrip('/')}/tallyloom-{application}"
 
 
