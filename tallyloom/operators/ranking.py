@@ -6,6 +6,8 @@ divided by the key that follows them, so a value shared by a third of the rows s
 over as many ranges as its share asks for. Rows are then counted per range, counts
 become offsets by a join, and each range is numbered by itself. How even the ranges are
 never changes the result, and nothing that grows with the rows reaches the driver.
+Tiles and top fractions need no rank of every row: ``selection`` finds the rows at the
+cuts, and a row's tile is how many of them it reaches.
 
 Order columns are ascending with nulls first, and together unique. The frames are
 read several times: pass a stored one (``runtime.materialize``).
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.operators.selection import rows_at_ranks
 from tallyloom.runtime import materialize
 
 ROWS_PER_RANGE = 1_000_000
@@ -65,29 +68,10 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_numb
 
 def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int], rows: int,
             rows_per_range: int = ROWS_PER_RANGE) -> dict[int, tuple]:
-    """Order keys of the rows at some 1-based ranks. Only the ranges that hold such a
-    rank are sorted; ranks outside the frame are left out."""
-    wanted = sorted({r for r in ranks if 1 <= r <= rows})
-    if not wanted:
-        return {}
-    ranged, starts = stored_ranges(df.select(*order), order, rows, rows_per_range)
-    holds = F.lit(False)
-    for rank in wanted:
-        holds |= (F.col("_start") < rank) & (F.col("_start") + F.col("_n") >= rank)
-    found_ranges = starts.where(holds).collect()  # at most one row per rank
-    hit, start_of = F.lit(False), {r[_RANGE]: r["_start"] for r in found_ranges}
-    for r in found_ranges:
-        for rank in wanted:
-            if r["_start"] < rank <= r["_start"] + r["_n"]:
-                hit |= (F.col(_RANGE) == r[_RANGE]) & (F.col("_row") == rank - r["_start"])
-    found = (
-        ranged.where(F.col(_RANGE).isin(list(start_of)))
-        .withColumn("_row", F.row_number().over(W.partitionBy(_RANGE).orderBy(*order)))
-        .where(hit)
-        .select(_RANGE, "_row", *order)
-        .collect()
-    )
-    return {start_of[row[0]] + row[1]: tuple(row[2:]) for row in found}
+    """Order keys of the rows at some 1-based ranks by (value, unique key); ranks outside
+    the frame are left out."""
+    value, key = order
+    return rows_at_ranks(df, [value], key, lambda _: {value: ranks}, rows_per_range)[1][value]
 
 
 def tile_starts(rows: int, tiles: int) -> list[int]:
@@ -106,12 +90,11 @@ def count_reached(order: Sequence[str], at: dict[int, tuple], ranks: Sequence[in
 
 
 def ntile(df: DataFrame, order: Sequence[str], tiles: int, name: str,
-          rows: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add the NTILE number over the whole frame."""
-    rows = df.count() if rows is None else rows
-    starts = tile_starts(rows, tiles)
-    at = rows_at(df, order, starts, rows, rows_per_range)
-    return df.withColumn(name, count_reached(order, at, starts) + 1)
+          rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add the NTILE number over the whole frame, by (value, unique key)."""
+    value, key = order
+    rows, at = rows_at_ranks(df, [value], key, lambda n: {value: tile_starts(n, tiles)}, rows_per_range)
+    return df.withColumn(name, count_reached(order, at[value], tile_starts(rows, tiles)) + 1)
 
 
 def top_fraction_sum(df: DataFrame, value: str, key: str, parts: int, name: str,
@@ -119,11 +102,9 @@ def top_fraction_sum(df: DataFrame, value: str, key: str, parts: int, name: str,
     """One row: the sum of the largest ceil(n / parts) values. Equal values at the
     border count alike whichever is taken, so the order of ``key`` does not matter."""
     keyed = df.select((-F.col(value)).alias("_descending"), key, value)
-    order = ["_descending", key]
-    rows = keyed.count()
-    beyond = -(-rows // parts) + 1
-    at = rows_at(keyed, order, [beyond], rows, rows_per_range)
-    kept = keyed.where(~reaches(order, at[beyond])) if beyond in at else keyed
+    rows, at = rows_at_ranks(keyed, ["_descending"], key, lambda n: {"_descending": [-(-n // parts) + 1]}, rows_per_range)
+    border = list(at["_descending"].values())
+    kept = keyed.where(~reaches(["_descending", key], border[0])) if border else keyed
     return kept.agg(F.sum(value).alias(name))
 
 

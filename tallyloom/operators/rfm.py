@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import map_value
-from tallyloom.operators.ranking import ROWS_PER_RANGE, count_reached, ntile, rows_at
+from tallyloom.operators.ranking import ROWS_PER_RANGE, count_reached, tile_starts
+from tallyloom.operators.selection import rows_at_ranks
 
 RFM_COLUMNS = [
     "customer_sk", "full_name", "city", "source_system", "company", "company_code",
@@ -60,14 +61,21 @@ def _rfm_code(df: DataFrame) -> DataFrame:
 
 def rfm_ntile(raw: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """NTILE(5) scores; ties in customer key order. ``raw`` is read several times."""
-    rows = raw.count()
+    measures = {"_oldest_first": "r_score", "frequency": "f_score", "monetary_syp": "m_score"}
     scored = raw.withColumn("_oldest_first", -F.col("recency_days"))
-    for order, name in (("_oldest_first", "r_score"), ("frequency", "f_score"),
-                        ("monetary_syp", "m_score")):
-        scored = ntile(scored, [order, "customer_sk"], 5, name, rows, rows_per_range)
+    rows, at = rows_at_ranks(scored, list(measures), "customer_sk",
+                             lambda n: dict.fromkeys(measures, tile_starts(n, 5)), rows_per_range)
+    scored = scored.withColumns({
+        name: count_reached([m, "customer_sk"], at[m], tile_starts(rows, 5)) + 1 for m, name in measures.items()})
     return _rfm_code(scored.drop("_oldest_first"))
 
 
+def _quintile_ranks(rows: int) -> tuple[list[int], list[int]]:
+    """First ranks of the scores above 1, rising, and the ranks of recency that end a score."""
+    steps = [s * (rows - 1) // 5 for s in (1, 2, 3, 4)]
+    return [step + 2 for step in steps], [rows - step for step in steps]
+
+
 def rfm_quintiles(raw: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Scores 1 to 5 by equal-width cuts of the rank; ties in customer key order.
 
@@ -75,19 +83,17 @@ def rfm_quintiles(raw: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataF
     the ranks count from the other end. A lone customer scores 1, 1, 1. The score is
     a comparison with four exact cut rows per measure, so no customer is moved.
     """
-    rows = raw.count()
-    steps = [s * (rows - 1) // 5 for s in (1, 2, 3, 4)]
-    rising = [step + 2 for step in steps]
-    falling = [rows - step for step in steps]
-    scored = raw
-    for measure, name in (("frequency", "f_score"), ("monetary_syp", "m_score")):
-        order = [measure, "customer_sk"]
-        at = rows_at(raw, order, rising, rows, rows_per_range)
-        scored = scored.withColumn(name, count_reached(order, at, rising) + 1)
-    order = ["recency_days", "customer_sk"]
-    at = rows_at(raw, order, falling, rows, rows_per_range)
-    scored = scored.withColumn("r_score", F.lit(5) - count_reached(order, at, falling))
-    return _rfm_code(scored)
+    def ranks(n: int) -> dict[str, list[int]]:
+        rising, falling = _quintile_ranks(n)
+        return {"recency_days": falling, "frequency": rising, "monetary_syp": rising}
+
+    rows, at = rows_at_ranks(raw, ["recency_days", "frequency", "monetary_syp"], "customer_sk", ranks, rows_per_range)
+    rising, falling = _quintile_ranks(rows)
+    return _rfm_code(raw.withColumns({
+        "f_score": count_reached(["frequency", "customer_sk"], at["frequency"], rising) + 1,
+        "m_score": count_reached(["monetary_syp", "customer_sk"], at["monetary_syp"], rising) + 1,
+        "r_score": F.lit(5) - count_reached(["recency_days", "customer_sk"], at["recency_days"], falling),
+    }))
 
 
 def segment(scored: DataFrame) -> DataFrame:
