@@ -12,14 +12,16 @@ widths (uint8) of blocks, starts of blocks in words and of exceptions in their l
 (uint64 each, one more than blocks); packed words (uint64); places (uint16) and
 differences (uint32) of exceptions; crc32 of all before (uint32); a line end.
 
-Documents are tokenised once, in the scan, into a scratch table of their ids; that table
-is sorted by id and every task writes its range of documents as one shard after the
-other. Spark's own writer puts the files into place, one row a file, so a lost task
-writes its shards again and a reader sees each once, in any file system.
+Documents are tokenised once, in the scan; their ids go straight to the range of their
+document, whose limits come from one pass over the ids of documents alone. A task writes
+its ranges as one shard after the other. Spark's own writer puts the files into place,
+one row a file, so a lost task writes its shards again and a reader sees each once, in
+any file system.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -42,7 +44,8 @@ PACKED_SHARE = 0.9
 SHARD_IDS = 1 << 23
 END_ID = 2
 _LANES = 64  # one value of each lane goes into the same word, so blocks hold a multiple of it
-_ROWS = "doc_id BIGINT, row BIGINT, n_tokens BIGINT, ids BINARY"
+RANGES_PER_TASK = 2
+_ROWS = "range BIGINT, doc_id BIGINT, row BIGINT, n_tokens BIGINT, ids BINARY"
 
 
 # -- blocks ------------------------------------------------------------------------
@@ -202,6 +205,8 @@ class Words:
     """
 
     MARK = "0"
+    #: Letters that neither case nor composition turns into anything else, and what may follow them.
+    _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -213,19 +218,45 @@ class Words:
         probe = self._ids(f" x,{self.MARK} {self.MARK}  x\n{self.MARK}y").tolist()
         parts = [self._ids(w).tolist() for w in (f"x,{self.MARK}", self.MARK, "x", f"{self.MARK}y")]
         self.by_word = len(mark) == 1 and probe == sum(parts, [])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Words of letters alone: each has one id that ends it, so none is needed between them."""
+        found = {}
+        for at in range(0, len(words), _JOINED):
+            part = words[at:at + _JOINED]
+            ids = self._ids(" ".join(part))
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(part):
+                return {w: self._ids(w).tobytes() for w in words}
+            given = ids.tobytes()
+            found.update(zip(part, [given[a:b] for a, b in zip([0, *cuts], cuts)]))
+        return found
+
     def _encode(self, words: list[str]) -> dict[str, bytes]:
-        found = {w: self._ids(w).tobytes() for w in words if self.MARK in w}
-        plain = [w for w in words if w not in found]
+        """Ids of new words. Letters and the signs behind them are always apart."""
+        split = {w: m.groups() for w in words if (m := self._PLAIN.fullmatch(w))} if self.ends.any() else {}
+        known = self.known
+        apart = {part for pair in split.values() for part in pair if part and part not in known}
+        letters = [w for w in apart if w[-1].isalpha()]
+        others = [w for w in words if w not in split] + [w for w in apart if not w[-1].isalpha()]
+        found = self._letters(letters)
+        found.update({w: self._ids(w).tobytes() for w in others if self.MARK in w})
+        plain = [w for w in others if self.MARK not in w]
         for at in range(0, len(plain), _JOINED):
             part = plain[at:at + _JOINED]
             ids = self._ids(f" {self.MARK} ".join(part))
             cuts = np.flatnonzero(ids == self.mark) * 4
             given, begins = ids.tobytes(), [0, *(cuts + 4).tolist()]
             found.update(zip(part, [given[a:b] for a, b in zip(begins, [*cuts.tolist(), len(given)], strict=True)], strict=True))
+        for word, (first, rest) in split.items():
+            if rest:
+                found[word] = (found.get(first) or known[first]) + (found.get(rest) or known[rest])
         return found
 
     def id_bytes(self, texts: list[str]) -> list[bytes]:
@@ -249,9 +280,31 @@ def words_of(path: str) -> Words:
     return _tokenizers[path]
 
 
-def tokens(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, row, n_tokens, ids): one row per document, its ids and the end id, two
-    bytes each where all ids of the document fit, else four. ``row`` tells rows apart."""
+def limits(documents: DataFrame, ranges: int) -> tuple[int, np.ndarray]:
+    """(ranges for rows without an id, limits of the others' ranges): quantiles of the
+    ids, from one pass over that column. An id with many rows is many limits."""
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    found = documents.select(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("known"),
+        F.percentile_approx("doc_id", shares, max(10_000, 4 * ranges)).alias("limits")).first()
+    unknown = found["n"] - found["known"]
+    return -(-unknown * ranges // max(found["n"], 1)), np.array(found["limits"] or [], np.int64)
+
+
+def range_of(doc_ids: np.ndarray, known: np.ndarray, rows: np.ndarray, unknown_ranges: int,
+             bounds: np.ndarray) -> np.ndarray:
+    """Range of each row. A row whose id is a limit may lie on either side of it, so rows of
+    one id are dealt by ``rows`` over all ranges that it can be in."""
+    low, high = np.searchsorted(bounds, doc_ids, "left"), np.searchsorted(bounds, doc_ids, "right")
+    return np.where(known, unknown_ranges + low + rows % (high - low + 1), rows % max(unknown_ranges, 1))
+
+
+def tokens(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, ranges: int = 1) -> DataFrame:
+    """(range, doc_id, row, n_tokens, ids): one row per document, its ids and the end id,
+    two bytes each where all ids of the document fit, else four. ``row`` is its place in
+    its part of the table, so give a stored table: a task that runs again then numbers
+    its rows in the same way."""
+    unknown_ranges, bounds = limits(documents, ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, row = np.uint32(end_id).tobytes(), TaskContext.get().partitionId() << 40
@@ -264,9 +317,13 @@ def tokens(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> D
                 packed.append((ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes())
             rows = np.arange(row, row + len(texts))
             row += len(texts)
+            doc_ids = block.column("doc_id").cast(pa.int64())
+            known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
+            numbers = doc_ids.fill_null(0).to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id").cast(pa.int64()), pa.array(rows), pa.array(counts, pa.int64()),
-                 pa.array(packed, pa.binary())], ["doc_id", "row", "n_tokens", "ids"])
+                [pa.array(range_of(numbers, known, rows, unknown_ranges, bounds)), doc_ids, pa.array(rows),
+                 pa.array(counts, pa.int64()), pa.array(packed, pa.binary())],
+                ["range", "doc_id", "row", "n_tokens", "ids"])
 
     return documents.select("doc_id", "text").mapInArrow(run, _ROWS)
 
@@ -275,37 +332,39 @@ def write_shards(documents: DataFrame, path: str, tokenizer_path: str, end_id: i
                  shard_ids: int = SHARD_IDS, block_ids: int = BLOCK_IDS, share: float = PACKED_SHARE) -> None:
     """Write the documents' ids as shard files below ``path``, in ascending order of id.
 
-    Rows without an id come first; rows with the same id stand next to each other, and
-    however many there are, they are dealt over ranges by ``row``. A null text is its end
-    id alone. A shard is full with the document that brings it to ``shard_ids`` ids, so
-    a task holds one shard, or one document if that is longer. No rows: no files.
+    Files are ordered by the range and number in their headers. Rows without an id come
+    first; rows with the same id stand next to each other, and however many there are,
+    they are dealt over several ranges. A null text is its end id alone. A shard is full
+    with the document that brings it to ``shard_ids`` ids, so a task holds one shard, or
+    one document if that is longer. No rows: no files.
     """
-    stored = materialize(tokens(documents, tokenizer_path, end_id), "token-ids")
-    ordered = stored.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tokens(documents, tokenizer_path, end_id, RANGES_PER_TASK * parts).repartition(parts, "range")
+    ordered = dealt.sortWithinPartitions("range", "doc_id", "row")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held, doc_ids, lengths = TaskContext.get().partitionId(), 0, [], [], []
+        part, number, total, held, doc_ids, lengths = None, 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:
             starts = np.concatenate(([0], np.cumsum(lengths)))
             content = shard_bytes(part, number, doc_ids, starts, np.concatenate(held), block_ids, share)
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-        total = 0
         for batch in batches:
-            for doc_id, n, given in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids"))):
+            for place, doc_id, n, given in zip(*(batch.column(c).to_pylist() for c in ("range", "doc_id", "n_tokens", "ids"))):
+                if doc_ids and (place != part or total >= shard_ids):
+                    yield close()
+                    number = number + 1 if place == part else 0
+                    total, held, doc_ids, lengths = 0, [], [], []
+                part = place
                 held.append(np.frombuffer(given, "<u2" if len(given) == 2 * n else "<u4"))
                 doc_ids.append(doc_id)
                 lengths.append(n)
                 total += n
-                if total >= shard_ids:
-                    yield close()
-                    number, total = number + 1, 0
-                    held, doc_ids, lengths = [], [], []
         if doc_ids:
             yield close()
 
-    files = ordered.select("doc_id", "n_tokens", "ids").mapInArrow(shards, "content BINARY")
+    files = ordered.select("range", "doc_id", "n_tokens", "ids").mapInArrow(shards, "content BINARY")
     # the writer of lines puts the bytes as they are and the line end that closes each file
     files.select(F.expr("substring(content, 1, length(content) - 1)").cast("string").alias("value")) \
         .write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)

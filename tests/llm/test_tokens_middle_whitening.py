@@ -101,13 +101,32 @@ def test_token_files(spark, texts, tmp_path, shard_ids):
     assert [r["start"] for r in placed] == np.concatenate(([0], np.cumsum([r["n_tokens"] for r in placed])))[:-1].tolist()
     order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in placed]
     assert order == sorted(order)
-    shards = [patched_blocks.Shard(f.read_bytes()) for f in sorted((tmp_path / "files").glob("part-*")) if f.stat().st_size]
-    assert [(s.part, s.number) for s in shards] == sorted((s.part, s.number) for s in shards)
+    shards = [patched_blocks.Shard(f.read_bytes()) for f in (tmp_path / "files").glob("part-*") if f.stat().st_size]
+    shards.sort(key=lambda s: (s.part, s.number))
+    inside = [(bool(known), int(i)) for s in shards for i, known in zip(s.doc_ids, s.has_id)]
+    assert inside == order and len({(s.part, s.number) for s in shards}) == len(shards)
     assert sum(s.n_ids for s in shards) == sum(n for _, n, _ in own)
     if shard_ids == 1:
         assert len(shards) == len(texts)
 
 
+def test_rows_of_one_id_are_dealt_over_ranges():
+    bounds = np.array([3, 5, 5, 5, 9])
+    doc_ids, rows = np.repeat([1, 3, 4, 5, 9, 20], 50), np.tile(np.arange(50), 6)
+    found = patched_blocks.range_of(doc_ids, np.ones(300, bool), rows, 2, bounds)
+    wanted = {1: {2}, 3: {2, 3}, 4: {3}, 5: {3, 4, 5, 6}, 9: {6, 7}, 20: {7}}
+    assert {d: set(found[doc_ids == d].tolist()) for d in wanted} == wanted
+    assert set(patched_blocks.range_of(doc_ids, np.zeros(300, bool), rows, 2, bounds).tolist()) == {0, 1}
+    assert set(patched_blocks.range_of(doc_ids, np.ones(300, bool), rows, 0, bounds[:0]).tolist()) == {0}
+
+
+def test_one_id_for_a_third_of_the_rows(spark):
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i}") for i in range(90)]
+    found = patched_blocks.token_files(frame(spark, rows), TOKENIZER, shard_ids=10).orderBy("start").collect()
+    assert [(r["doc_id"] is not None, r["doc_id"] or 0) for r in found] == sorted((i is not None, i or 0) for i, _ in rows)
+    assert found[-1]["start"] + found[-1]["n_tokens"] == sum(r["n_tokens"] for r in found)
+
+
 def test_token_files_of_nothing(spark):
     assert patched_blocks.token_files(frame(spark, []), TOKENIZER).collect() == []
 
