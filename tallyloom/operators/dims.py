@@ -47,20 +47,23 @@ def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def assign_sk(new: DataFrame, current: DataFrame, sk: str, keys: Sequence[str],
-              rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+              rows_per_range: int = ROWS_PER_RANGE, last: int | None = None) -> DataFrame:
     """The rows of ``new`` whose key ``current`` lacks, with surrogate keys that follow
-    the current maximum in key order. ``new`` has unique keys."""
+    the current maximum in key order. ``new`` has unique keys. Give the maximum as
+    ``last`` where it is known or ``current`` is only the part that holds these keys."""
     fresh = materialize(new.join(current.select(*keys), list(keys), "left_anti"), f"new-{sk}")
-    last = current.agg(F.max(sk)).first()[0] or 0
+    if last is None:
+        last = current.agg(F.max(sk)).first()[0] or 0
     numbered = global_row_number(fresh, keys, sk, rows_per_range)
     return numbered.withColumn(sk, (F.col(sk) + F.lit(last)).cast("bigint"))
 
 
 def upsert_scd1(current: DataFrame, new: DataFrame, keys: Sequence[str], attributes: Sequence[str],
                 sk: str, batch_id: str, loaded_at: dt.datetime,
-                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, last: int | None = None) -> DataFrame:
     """The dimension after a batch: attributes and audit columns of keys in ``new`` are
-    overwritten, surrogate keys stay, new keys are added. ``new`` has unique keys."""
+    overwritten, surrogate keys stay, new keys are added. ``new`` has unique keys. With
+    the greatest key as ``last``, ``current`` may be the parts that can hold these keys."""
     audited = new.select(*keys, *attributes).withColumns(
         {"etl_loaded_at": F.lit(loaded_at), "etl_batch_id": F.lit(batch_id)}
     )
@@ -71,7 +74,7 @@ def upsert_scd1(current: DataFrame, new: DataFrame, keys: Sequence[str], attribu
         *[F.when(F.col("_new").isNotNull(), F.col(f"_new.{v}")).otherwise(F.col(v)).alias(v)
           for v in values],
     )
-    added = assign_sk(audited, current, sk, keys, rows_per_range)
+    added = assign_sk(audited, current, sk, keys, rows_per_range, last)
     return stored.unionByName(added.select(*stored.columns))
 
 

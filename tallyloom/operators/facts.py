@@ -11,13 +11,21 @@ from tallyloom.operators.dims import first_per_key
 
 
 def insert_absent(current: DataFrame | None, new: DataFrame, keys: Sequence[str],
-                  order: Sequence[str]) -> DataFrame:
-    """The rows of ``new`` to append: first copy per key, keys not stored yet. Of the
-    stored table the key columns are read and shuffled once."""
+                  order: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """The rows of ``new`` to append: first copy per key, keys not stored yet.
+
+    Where ``current`` is bucketed by the keys, give its number of buckets: the new rows
+    are dealt in the same way and nothing of the stored table moves. They come back
+    dealt, ready to be written in buckets.
+    """
     first = first_per_key(new, keys, [F.col(c) for c in order])
+    if buckets:
+        first = first.repartition(buckets, *keys)
     if current is None:
         return first
-    return first.join(current.select(*keys), list(keys), "left_anti")
+    # not an anti join: that one is moved below the dealing, back to where the sizes differ
+    stored = current.select(*keys, F.lit(True).alias("_stored"))
+    return first.join(stored, list(keys), "left").where(F.col("_stored").isNull()).select(*first.columns)
 
 
 def orphans(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:

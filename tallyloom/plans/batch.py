@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
@@ -16,8 +16,8 @@ from tallyloom.operators import audit, conform
 from tallyloom.operators.dims import last_per_key, upsert_scd1
 from tallyloom.operators.facts import insert_absent
 from tallyloom.operators.lookup import heavy_keys
-from tallyloom.plans.warehouse import Warehouse
-from tallyloom.runtime import materialize
+from tallyloom.plans.warehouse import DIMENSIONS, Warehouse, WriterBusy
+from tallyloom.runtime import materialize, materialize_counted
 from tallyloom.sources import operational
 from tallyloom.sources.operational import Reader
 from tallyloom.specs import SourceSpec, source_a, source_b
@@ -73,13 +73,15 @@ def resolve_since(runs: DataFrame, mode: str = "incremental", since: dt.date | N
     raise ValueError(f"unknown mode: {mode}")
 
 
+def stage_counts() -> dict[str, Column]:
+    """Rows read and quarantine rows found, of one conformed frame."""
+    return {"extracted": F.count(F.lit(1)), "quarantined": F.count("reason_code")}
+
+
 def batch_counts(stages: list[DataFrame]) -> DataFrame:
-    """One row: rows read and quarantine rows found, over stored conformed frames."""
-    parts = [
-        s.agg(F.count(F.lit(1)).alias("extracted"),
-              F.count("reason_code").alias("quarantined"))
-        for s in stages
-    ]
+    """One row: rows read and quarantine rows found, over stored conformed frames. A load
+    takes the same counts while it writes its stages."""
+    parts = [s.agg(*[c.alias(n) for n, c in stage_counts().items()]) for s in stages]
     return conform.union_all(parts).agg(
         F.sum("extracted").alias("extracted"), F.sum("quarantined").alias("quarantined")
     )
@@ -116,15 +118,23 @@ def conform_orders(feeds: list[Feed], orders: list[DataFrame],
 
 
 def begin_run(warehouse: Warehouse, batch_id: str, mode: str, at: dt.datetime, codes: list[str]) -> None:
-    """Open a run in the log, or refuse it."""
-    runs = warehouse.runs()
-    if not runs.where((F.col("batch_id") == batch_id) & (F.col("status") == "succeeded")).isEmpty():
-        raise BatchRefused(f"batch id {batch_id} has been loaded; give each load an id of its own")
-    recent = F.col("logged_at") > F.lit(_now() - dt.timedelta(hours=STALE_HOURS))
-    other = runs.where((F.col("batch_id") != batch_id) & (F.col("status") == "running") & recent)
-    for row in other.select("batch_id", "started_at").limit(1).collect():
-        raise BatchRefused(f"run {row.batch_id} of {row.started_at} is still open: one writer at a time")
-    warehouse.log(audit.open_run(warehouse.spark, batch_id, mode, at, codes))
+    """Take the writer's place and open a run in the log, or refuse it."""
+    try:
+        warehouse.lock(batch_id, STALE_HOURS)
+    except WriterBusy as error:
+        raise BatchRefused(str(error)) from error
+    try:
+        runs = warehouse.runs()
+        if not runs.where((F.col("batch_id") == batch_id) & (F.col("status") == "succeeded")).isEmpty():
+            raise BatchRefused(f"batch id {batch_id} has been loaded; give each load an id of its own")
+        recent = F.col("logged_at") > F.lit(_now() - dt.timedelta(hours=STALE_HOURS))
+        other = runs.where((F.col("batch_id") != batch_id) & (F.col("status") == "running") & recent)
+        for row in other.select("batch_id", "started_at").limit(1).collect():
+            raise BatchRefused(f"run {row.batch_id} of {row.started_at} is still open: one writer at a time")
+        warehouse.log(audit.open_run(warehouse.spark, batch_id, mode, at, codes))
+    except Exception:
+        warehouse.unlock(batch_id)
+        raise
 
 
 @dataclass
@@ -159,19 +169,19 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
     stages: list[DataFrame] = []
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        stages.append(materialize(df, name))
-        return stages[-1]
+        stored, counts = materialize_counted(df, name, **stage_counts())
+        result.extracted += counts["extracted"]
+        result.quarantined += counts["quarantined"]
+        stages.append(stored)
+        return stored
 
     def finish(status: str, notes: str | None = None) -> None:
         result.status = status
-        if stages:
-            result.extracted, result.quarantined = batch_counts(stages).first()
         if dry_run:
             return
         if stages:
             bad = conform.union_all([conform.split_quarantine(s)[1] for s in stages])
-            warehouse.write(audit.stamp_quarantine(bad, result.batch_id, started),
-                            "etl_errors", result.batch_id)
+            warehouse.write_errors(audit.stamp_quarantine(bad, result.batch_id, started), result.batch_id)
         warehouse.log(audit.close_run(spark, result.batch_id, mode, started, _now(), result.extracted,
                                       result.loaded, result.quarantined, status, notes, codes))
 
@@ -180,27 +190,27 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
         customers, products = conform_entities(feeds, extracts, city_maps, catalogs)
         customers, products = stage(customers, "customers"), stage(products, "products")
         tables = warehouse.tables()
-        for judged, name, keys, attributes, sk in (
-            (conform.good_customers(customers), "dim_customer", schemas.CUSTOMER_KEY,
-             schemas.CUSTOMER_ATTRIBUTES, "customer_sk"),
-            (conform.good_products(products), "dim_product", schemas.PRODUCT_KEY,
-             schemas.PRODUCT_ATTRIBUTES, "product_sk"),
+        for judged, name, attributes in (
+            (conform.good_customers(customers), "dim_customer", schemas.CUSTOMER_ATTRIBUTES),
+            (conform.good_products(products), "dim_product", schemas.PRODUCT_ATTRIBUTES),
         ):
+            _, keys, sk = DIMENSIONS[name]
             unique = last_per_key(judged, keys, [F.col(a) for a in attributes])
-            snapshot = upsert_scd1(tables[name], unique, keys, attributes, sk, result.batch_id, started)
+
+            def upsert(current: DataFrame, last: int | None) -> DataFrame:
+                return upsert_scd1(current, unique, keys, attributes, sk, result.batch_id, started, last=last)
+
             if dry_run:
-                tables[name] = materialize(snapshot, name)
+                tables[name] = materialize(upsert(tables[name], None), name)
             else:
-                warehouse.write(snapshot, name, result.batch_id)
-                tables[name] = warehouse.written(name, result.batch_id)
+                tables[name] = warehouse.update_dimension(name, judged, result.batch_id, upsert)
         orders = [x[f.spec.orders.table] for f, x in zip(feeds, extracts)]
         sales = stage(conform_orders(feeds, orders, tables), "sales")
-        new = insert_absent(tables["fact_sales"], conform.good_sales(sales),
-                            schemas.FACT_KEY, schemas.FACT_ORDER)
-        new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(result.batch_id)})
         if not dry_run:
-            warehouse.write(new, "fact_sales", result.batch_id)
-            result.loaded = warehouse.written("fact_sales", result.batch_id).count()
+            new = insert_absent(tables["fact_sales"], conform.good_sales(sales), schemas.FACT_KEY,
+                                schemas.FACT_ORDER, warehouse.layout()[0])
+            new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(result.batch_id)})
+            result.loaded = warehouse.write_facts(new, result.batch_id)
         finish("succeeded")
     except Exception as error:
         notes = f"{type(error).__name__}: {error}"[:500]
@@ -213,4 +223,7 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
                 warehouse.log(audit.close_run(spark, result.batch_id, mode, started, _now(), 0, 0, 0,
                                               "failed", notes, codes))
         raise
+    finally:
+        if not dry_run:
+            warehouse.unlock(result.batch_id)
     return result

@@ -1,18 +1,27 @@
-"""The stored warehouse: plain parquet folders, made visible by the run log.
+"""The stored warehouse: parquet folders, made visible by the run log.
 
-Every batch writes its own folders (``<table>/batch_id=<id>``): new facts and
-quarantine rows, and the dimensions as full snapshots. Readers see facts of
-succeeded batches and the snapshots of the last one, so a batch that fails half
-way changes nothing for them. One writer at a time is assumed.
+Every batch writes its own folders (``<table>/batch_id=<id>``), so a batch that fails half
+way changes nothing for readers, who see the rows of succeeded batches.
+
+- Facts of a batch lie in hash buckets of the fact key. Readers declare all batches as one
+  bucketed table, so a join on that key moves nothing of what is stored.
+- Dimensions lie in hash parts of the natural key. A batch writes the parts that it touches
+  and lists them in ``dim_parts`` with their greatest surrogate key; a reader takes the
+  newest version of every part. The others stay as they are.
+
+How many buckets and parts there are is fixed when the warehouse is made (``layout``).
+One writer at a time: it holds the file ``writer``, made without overwriting.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,17 +31,109 @@ from tallyloom.operators.audit import current_runs
 from tallyloom.operators.dims import dim_company
 from tallyloom.runtime import literal_rows
 
-SNAPSHOTS = {"dim_customer": schemas.DIM_CUSTOMER, "dim_product": schemas.DIM_PRODUCT}
-APPENDED = {"fact_sales": schemas.FACT_SALES, "etl_errors": schemas.ETL_ERRORS}
+DIMENSIONS = {
+    "dim_customer": (schemas.DIM_CUSTOMER, schemas.CUSTOMER_KEY, "customer_sk"),
+    "dim_product": (schemas.DIM_PRODUCT, schemas.PRODUCT_KEY, "product_sk"),
+}
+PART = "part"
+BUCKETS, PARTS = 8, 8
+LAYOUT = T.StructType([T.StructField("buckets", T.IntegerType()), T.StructField("parts", T.IntegerType())])
+DIM_PARTS = T.StructType([
+    T.StructField("batch_id", T.StringType()), T.StructField("table", T.StringType()),
+    T.StructField(PART, T.IntegerType()), T.StructField("max_sk", T.LongType())])
+
+
+class WriterBusy(RuntimeError):
+    """Another writer holds the warehouse."""
 
 
 class Warehouse:
+    """A warehouse at ``root``. ``buckets`` (of facts) and ``parts`` (of dimensions) hold for
+    a new one; an existing one keeps its own."""
+
     def __init__(self, spark: SparkSession, root: str, companies: Sequence[tuple[str, str, str]],
-                 calendar: tuple[dt.date, dt.date]):
+                 calendar: tuple[dt.date, dt.date], buckets: int = BUCKETS, parts: int = PARTS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.companies = companies
         self.calendar = calendar
+        self._asked = (buckets, parts)
+        self._layout: tuple[int, int] | None = None
+
+    # -- layout ----------------------------------------------------------
+    def layout(self) -> tuple[int, int]:
+        """(buckets, parts), written down by the first writer."""
+        if self._layout is None:
+            stored = self._read(f"{self.root}/layout", LAYOUT).first()
+            if stored is None:
+                return self._asked
+            self._layout = tuple(stored)
+        return self._layout
+
+    def _keep_layout(self) -> None:
+        if self._layout is None and self._existing(f"{self.root}/layout", LAYOUT) is None:
+            literal_rows(self.spark, [self._asked], LAYOUT).write.parquet(f"{self.root}/layout")
+        self.layout()
+
+    def part_of(self, table: str) -> Column:
+        """Part of a dimension row, by its natural key."""
+        keys = [F.col(c).cast("string") for c in DIMENSIONS[table][1]]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.layout()[1])).cast("int")
+
+    # -- one writer ------------------------------------------------------
+    def _file(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def lock(self, writer: str, stale_hours: float) -> None:
+        """Take the writer's file, or raise ``WriterBusy``. A file older than
+        ``stale_hours``, or of the same writer, is taken over."""
+        files, path = self._file("writer")
+        files.mkdirs(path.getParent())
+        for _ in range(2):
+            if self._create(files, path, writer):
+                return
+            holder, age = self._holder(files, path)
+            if holder != writer and age < stale_hours * 3600:
+                raise WriterBusy(f"{holder} is writing: one writer at a time")
+            files.delete(path, False)
+        raise WriterBusy("another writer took over at the same time")
+
+    def _create(self, files, path, writer: str) -> bool:
+        try:
+            if path.toUri().getScheme() in (None, "file"):  # Hadoop's local create looks first and makes then
+                nio, uri = self.spark.sparkContext._jvm.java.nio.file, files.makeQualified(path).toUri()
+                nio.Files.createFile(nio.Paths.get(uri), self._none(nio.attribute.FileAttribute))
+                nio.Files.writeString(nio.Paths.get(uri), writer, self._none(nio.OpenOption))
+            else:
+                out = files.create(path, False)
+                out.write(bytearray(writer.encode()))
+                out.close()
+            return True
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+
+    def _none(self, kind):
+        return self.spark.sparkContext._gateway.new_array(kind, 0)
+
+    def _holder(self, files, path) -> tuple[str | None, float]:
+        """(writer, seconds since it wrote) of the file; nobody if it is gone meanwhile."""
+        try:
+            since = files.getFileStatus(path).getModificationTime() / 1000
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(files.open(path), "UTF-8")
+            return text, dt.datetime.now().timestamp() - since
+        except Py4JJavaError as error:
+            if "FileNotFound" in error.java_exception.getClass().getName():
+                return None, float("inf")
+            raise
+
+    def unlock(self, writer: str) -> None:
+        files, path = self._file("writer")
+        if files.exists(path) and self._holder(files, path)[0] == writer:
+            files.delete(path, False)
 
     # -- run log ---------------------------------------------------------
     def log(self, line: DataFrame) -> None:
@@ -53,46 +154,110 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         """The star schema as of the batches that have succeeded by now."""
         batches = self.succeeded()
+        versions = self._versions(batches)
         return {
             "dim_company": dim_company(self.spark, self.companies),
             "dim_date": dim_date(self.spark, *self.calendar),
-            "dim_customer": self._snapshot("dim_customer", batches),
-            "dim_product": self._snapshot("dim_product", batches),
-            "fact_sales": self._batches("fact_sales", batches),
+            **{name: self._parts(name, {p: b for p, (b, _) in versions.get(name, {}).items()}) for name in DIMENSIONS},
+            "fact_sales": self.facts(batches),
         }
 
     def errors(self) -> DataFrame:
         """Quarantine rows of every batch, failed ones included."""
-        return self._batches("etl_errors", [r.batch_id for r in self.runs().select("batch_id").collect()])
+        batches = [r.batch_id for r in self.runs().select("batch_id").collect()]
+        stored = self._read(f"{self.root}/etl_errors", schemas.ETL_ERRORS)
+        return stored.where(F.col("batch_id").isin(batches)).select(*schemas.ETL_ERRORS.names)
+
+    def write_errors(self, df: DataFrame, batch_id: str) -> None:
+        rows = df.select(*schemas.ETL_ERRORS.names)
+        rows.write.mode("overwrite").parquet(self.path("etl_errors", batch_id))
 
-    def write(self, df: DataFrame, table: str, batch_id: str) -> None:
-        rows = df.select(*{**SNAPSHOTS, **APPENDED}[table].names)
-        if table == "fact_sales":
-            # narrow date ranges per row group, so that date filters skip data
-            rows = rows.sortWithinPartitions("date_sk")
-        rows.write.mode("overwrite").parquet(self.path(table, batch_id))
+    # -- facts -----------------------------------------------------------
+    def _declared(self) -> str:
+        """The batches' folders as one bucketed table of this session."""
+        name = f"tallyloom_facts_{hashlib.md5(self.root.encode()).hexdigest()[:16]}"
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.FACT_SALES)
+            setting, keys = "spark.sql.hive.manageFilesourcePartitions", ", ".join(schemas.FACT_KEY)
+            before = self.spark.conf.get(setting)
+            self.spark.conf.set(setting, "false")  # folders are listed, not registered one by one
+            try:
+                self.spark.sql(
+                    f"CREATE TABLE {name} ({columns}, batch_id STRING) USING parquet PARTITIONED BY (batch_id) "
+                    f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.layout()[0]} BUCKETS "
+                    f"LOCATION '{self.root}/fact_sales'")
+            finally:
+                self.spark.conf.set(setting, before)
+        self.spark.catalog.refreshTable(name)
+        return name
 
-    def written(self, table: str, batch_id: str) -> DataFrame:
+    def facts(self, batches: Sequence[str]) -> DataFrame:
+        """Facts of the given batches: other folders are not read."""
+        if not batches or self._existing(f"{self.root}/fact_sales", schemas.FACT_SALES) is None:
+            return literal_rows(self.spark, [], schemas.FACT_SALES)
+        stored = self.spark.table(self._declared())
+        return stored.where(F.col("batch_id").isin(list(batches))).select(*schemas.FACT_SALES.names)
+
+    def write_facts(self, df: DataFrame, batch_id: str) -> int:
+        """Write the facts of a batch in buckets; the number of rows, counted on the way.
+        Rows that are dealt by bucket already (``insert_absent``) make one file each. The
+        order ids of a file are in a Bloom filter, so a look-up skips what lacks them."""
+        self._keep_layout()
+        buckets, keys = self.layout()[0], list(schemas.FACT_KEY)
+        counted = Observation()
+        rows = df.select(*schemas.FACT_SALES.names).observe(counted, F.count(F.lit(1)).alias("n"))
+        name = f"tallyloom_batch_{hashlib.md5(f'{self.root}/{batch_id}'.encode()).hexdigest()[:16]}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        (rows.write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").mode("overwrite")
+         .option("parquet.bloom.filter.enabled#source_order_id", "true")
+         .option("path", self.path("fact_sales", batch_id)).saveAsTable(name))
+        self.spark.sql(f"DROP TABLE {name}")  # a table with a path of its own: the files stay
+        return counted.get["n"]
+
+    def written_facts(self, batch_id: str) -> DataFrame:
         """What one batch wrote, whether or not it has succeeded yet."""
-        schema = {**SNAPSHOTS, **APPENDED}[table]
-        return self.spark.read.schema(schema).parquet(self.path(table, batch_id))
-
-    def _snapshot(self, table: str, batches: list[str]) -> DataFrame:
-        for batch_id in reversed(batches):
-            found = self._existing(self.path(table, batch_id), SNAPSHOTS[table])
-            if found is not None:
-                return found
-        return literal_rows(self.spark, [], SNAPSHOTS[table])
-
-    def _batches(self, table: str, batches: list[str]) -> DataFrame:
-        """Rows of the given batches: one listing of the table, pruned by folder."""
-        schema = APPENDED[table]
-        by_batch = T.StructType(list(schema.fields))
-        if "batch_id" not in schema.names:
-            by_batch = by_batch.add("batch_id", T.StringType())
-        stored = self._read(f"{self.root}/{table}", by_batch)
-        return stored.where(F.col("batch_id").isin(batches)).select(*schema.names)
+        return self.spark.read.schema(schemas.FACT_SALES).parquet(self.path("fact_sales", batch_id))
+
+    # -- dimensions ------------------------------------------------------
+    def _versions(self, batches: Sequence[str]) -> dict[str, dict[int, tuple[str, int]]]:
+        """{table: {part: (batch of its newest version, greatest key)}}: one row per part."""
+        listed = self._read(f"{self.root}/dim_parts", DIM_PARTS)
+        order = literal_rows(self.spark, list(enumerate(batches)), T.StructType(
+            [T.StructField("place", T.LongType()), T.StructField("batch_id", T.StringType())]))
+        newest = listed.join(order, "batch_id").groupBy("table", PART).agg(
+            F.max_by("batch_id", "place").alias("batch_id"), F.max("max_sk").alias("max_sk"))
+        found: dict[str, dict[int, tuple[str, int]]] = {}
+        for row in newest.collect():
+            found.setdefault(row["table"], {})[row[PART]] = (row["batch_id"], row["max_sk"])
+        return found
+
+    def _parts(self, table: str, versions: dict[int, str]) -> DataFrame:
+        schema = DIMENSIONS[table][0]
+        if not versions:
+            return literal_rows(self.spark, [], schema)
+        paths = [f"{self.path(table, b)}/{PART}={p}" for p, b in sorted(versions.items())]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def update_dimension(self, table: str, incoming: DataFrame, batch_id: str, upsert) -> DataFrame:
+        """Write the parts that the keys of ``incoming`` lie in and return the dimension with
+        them. ``upsert(current rows of those parts, greatest key so far)`` gives their rows."""
+        self._keep_layout()
+        sk = DIMENSIONS[table][2]
+        versions = self._versions([b for b in self.succeeded() if b != batch_id]).get(table, {})
+        part = self.part_of(table)
+        touched = [r[0] for r in incoming.select(part.alias(PART)).distinct().collect()]  # as many as parts at most
+        current = self._parts(table, {p: versions[p][0] for p in touched if p in versions})
+        last = max((m for _, m in versions.values() if m is not None), default=0)
+        # one task per part: their number follows the dimension, as is fixed in the layout
+        rows = upsert(current, last).withColumn(PART, part).repartition(self.layout()[1], PART)
+        rows.write.mode("overwrite").partitionBy(PART).parquet(self.path(table, batch_id))
+        if touched:
+            written = self.spark.read.schema(rows.schema).parquet(self.path(table, batch_id))
+            listed = written.groupBy(PART).agg(F.max(sk).alias("max_sk"))
+            listed.coalesce(1).write.mode("overwrite").parquet(f"{self.path('dim_parts', batch_id)}/table={table}")
+        return self._parts(table, {**{p: b for p, (b, _) in versions.items()}, **dict.fromkeys(touched, batch_id)})
 
+    # -- reading ---------------------------------------------------------
     def _read(self, path: str, schema) -> DataFrame:
         found = self._existing(path, schema)
         return literal_rows(self.spark, [], schema) if found is None else found

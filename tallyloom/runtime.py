@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and aggregates of the rows taken while they are written."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), name)
+    return stored, seen.get
+
+
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType) -> DataFrame:
     """A few fixed rows as part of the plan. Spark sees that they are small, whereas
     it takes ``createDataFrame`` of a list for a table of unknown, huge size."""

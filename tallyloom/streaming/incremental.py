@@ -20,9 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom import schemas
 from tallyloom.operators import audit, conform
 from tallyloom.operators.facts import insert_absent
-from tallyloom.plans.batch import Feed, batch_counts, begin_run, conform_orders
+from tallyloom.plans.batch import Feed, begin_run, conform_orders, stage_counts
 from tallyloom.plans.warehouse import Warehouse
-from tallyloom.runtime import materialize
+from tallyloom.runtime import materialize, materialize_counted
 from tallyloom.sources.operational import frame_reader
 
 
@@ -45,6 +45,7 @@ def load_micro_batch(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_
         extracted, loaded, quarantined = counts
         warehouse.log(audit.close_run(spark, batch_id, "stream", started, dt.datetime.now(dt.timezone.utc),
                                       extracted, loaded, quarantined, status, notes, codes))
+        warehouse.unlock(batch_id)
 
 
 def _load(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_id: str,
@@ -54,14 +55,14 @@ def _load(warehouse: Warehouse, feed: Feed, landed: DataFrame, batch_id: str,
     stored = materialize(landed, "landed")
     orders = feed.extract_orders(frame_reader({table: stored}), None)
     tables = warehouse.tables()
-    judged = materialize(conform_orders([feed], [orders], tables), "sales")
-    new = insert_absent(tables["fact_sales"], conform.good_sales(judged), schemas.FACT_KEY, schemas.FACT_ORDER)
+    judged, counts = materialize_counted(conform_orders([feed], [orders], tables), "sales", **stage_counts())
+    new = insert_absent(tables["fact_sales"], conform.good_sales(judged), schemas.FACT_KEY, schemas.FACT_ORDER,
+                        warehouse.layout()[0])
     new = new.withColumns({"etl_loaded_at": F.lit(started), "etl_batch_id": F.lit(batch_id)})
-    warehouse.write(new, "fact_sales", batch_id)
+    loaded = warehouse.write_facts(new, batch_id)
     bad = conform.split_quarantine(judged)[1]
-    warehouse.write(audit.stamp_quarantine(bad, batch_id, started), "etl_errors", batch_id)
-    extracted, quarantined = batch_counts([judged]).first()
-    return extracted, warehouse.written("fact_sales", batch_id).count(), quarantined
+    warehouse.write_errors(audit.stamp_quarantine(bad, batch_id, started), batch_id)
+    return counts["extracted"], loaded, counts["quarantined"]
 
 
 def stream_orders(warehouse: Warehouse, feed: Feed, schema: T.StructType, landing: str,
