@@ -42,27 +42,26 @@ def current_runs(log: DataFrame) -> DataFrame:
     )
 
 
-def last_success(runs: DataFrame, feed: str | None = None) -> DataFrame:
-    """One row: start of the last succeeded run, null if there is none. With a feed,
-    only full and incremental runs that extracted it count: a load from a given date may
-    leave a gap before that date, and a stream has read files, not a time range."""
+def last_success(runs: DataFrame, feed: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Start of the last succeeded run, null if there is none: one row, or one per value
+    of ``by``. With a feed, only full and incremental runs that extracted it count: a load
+    from a given date may leave a gap before that date, and a stream has read files, not a
+    time range."""
     done = F.col("status") == "succeeded"
     if feed is not None:
         done &= F.col("mode").isin("full", "incremental") & F.array_contains(F.split("feeds", ","), feed)
-    return runs.agg(F.max(F.when(done, F.col("started_at"))).alias("last_success"))
+    return runs.groupBy(*by).agg(F.max(F.when(done, F.col("started_at"))).alias("last_success"))
 
 
-def catchup_columns(now: Column, days: int = CATCH_UP_DAYS) -> tuple[Column, Column]:
-    """(age of ``last_success`` in whole seconds, whether a catch-up is due)."""
+def catchup_due(runs: DataFrame, now: Column, days: int = CATCH_UP_DAYS, feed: str | None = None,
+                by: Sequence[str] = ()) -> DataFrame:
+    """Start of the last success, its age in whole seconds, and whether a catch-up is due
+    (no success, or one of more than ``days`` days ago); as ``last_success`` for a feed or
+    for each value of ``by``."""
     last = F.col("last_success")
     age = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(last.cast("timestamp"))
-    return age, last.isNull() | (age > days * 86_400)
-
-
-def catchup_due(runs: DataFrame, now: Column, days: int = CATCH_UP_DAYS) -> DataFrame:
-    """One row: start of the last success, its age, and whether a catch-up is due."""
-    age, due = catchup_columns(now, days)
-    return last_success(runs).select("last_success", age.alias("age_seconds"), due.alias("due"))
+    due = last.isNull() | (age > days * 86_400)
+    return last_success(runs, feed, by).select(*by, "last_success", age.alias("age_seconds"), due.alias("due"))
 
 
 def stamp_quarantine(bad: DataFrame, batch_id: str, at: dt.datetime) -> DataFrame:

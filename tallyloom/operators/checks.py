@@ -153,3 +153,71 @@ def contract_profile(tables: dict[str, DataFrame], spec, city_table: str) -> Dat
     return fixed.unionByName(rates(people)).unionByName(rates(goods)).withColumn(
         "company_code", F.lit(spec.code)
     )
+
+
+VERDICT = T.StructType([
+    T.StructField("check", T.StringType()), T.StructField("passed", T.BooleanType()),
+    T.StructField("rate_a", T.DoubleType()), T.StructField("rate_b", T.DoubleType())])
+
+
+def contract_verdict(tables_a: dict[str, DataFrame], spec_a, city_a: str, tables_b: dict[str, DataFrame], spec_b,
+                     city_b: str, time_b: str, least: float = 0.9) -> DataFrame:
+    """(check, passed, rate_a, rate_b): do two sources differ in the nine agreed ways? A
+    rate is the share of all rows in the agreed form; it has to reach ``least``, and the
+    other source's form must not occur. Checks of names and types have no rates."""
+    spark = next(iter(tables_a.values())).sparkSession
+    own = [{s.customers.table, s.products.table, s.orders.table} for s in (spec_a, spec_b)]
+    named = (own[0] <= set(tables_a) and own[1] <= set(tables_b)
+             and not own[1] & set(tables_a) and not own[0] & set(tables_b))
+
+    def kind(tables: dict[str, DataFrame], table: str, column: str) -> str:
+        return _type_name(tables.get(table), column)
+
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    fixed = {
+        "table_naming": named,
+        "key_type": kind(tables_a, spec_a.customers.table, spec_a.customers.id) in whole
+        and kind(tables_b, spec_b.customers.table, spec_b.customers.id) == "string",
+        "price_type": kind(tables_a, spec_a.products.table, spec_a.products.price) in whole
+        and kind(tables_b, spec_b.products.table, spec_b.products.price).startswith("decimal"),
+        "total_column": kind(tables_a, spec_a.orders.table, spec_a.orders.total or "") != "missing"
+        and spec_b.orders.total is None,
+        "date_shape": kind(tables_a, spec_a.orders.table, spec_a.orders.date) == "timestamp"
+        and kind(tables_b, spec_b.orders.table, spec_b.orders.date) == "date"
+        and kind(tables_b, spec_b.orders.table, time_b) != "missing",
+    }
+
+    def shares(tables: dict[str, DataFrame], spec, other, city_table: str, local: bool) -> DataFrame:
+        """One row: of each trait the share in this source's form and in the other's."""
+        def in_form(column: Column) -> Column:
+            return column.rlike(ARABIC) if local else ~column.rlike(NOT_ASCII)
+
+        def not_in_form(column: Column) -> Column:
+            return ~column.rlike(NOT_ASCII) if local else column.rlike(ARABIC)
+
+        def both(name: str, good: Column, bad: Column) -> list[Column]:
+            return [_share(good).alias(name), _share(bad).alias(f"{name}_other")]
+
+        city, product = F.col(spec.customers.city), F.col(spec.products.name)
+        phone, category = F.regexp_replace(spec.customers.phone, r"(?U)\s+", ""), F.col(spec.products.category)
+        return (
+            tables[city_table].agg(*both("city_language", in_form(city), not_in_form(city)))
+            .crossJoin(tables[spec.customers.table].agg(*both(
+                "phone_format", phone.rlike(spec.customers.phone_rule.pattern), phone.rlike(other.customers.phone_rule.pattern))))
+            .crossJoin(tables[spec.products.table].agg(
+                *both("category_case", category.isin(list(spec.products.categories)), category.isin(list(other.products.categories))),
+                *both("name_language", in_form(product), not_in_form(product))))
+        )  # one row each
+
+    traits = ["city_language", "phone_format", "category_case", "name_language"]
+    a = shares(tables_a, spec_a, spec_b, city_a, True)
+    b = shares(tables_b, spec_b, spec_a, city_b, False)
+    sides = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns]).crossJoin(
+        b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]))
+    measured = sides.select(F.inline(F.array(*[
+        F.struct(F.lit(t).alias("check"),
+                 F.coalesce((F.col(f"a_{t}") >= least) & (F.col(f"b_{t}") >= least)
+                            & (F.col(f"a_{t}_other") == 0) & (F.col(f"b_{t}_other") == 0), F.lit(False)).alias("passed"),
+                 F.col(f"a_{t}").alias("rate_a"), F.col(f"b_{t}").alias("rate_b"))
+        for t in traits])))
+    return literal_rows(spark, [(n, p, None, None) for n, p in fixed.items()], VERDICT).unionByName(measured)

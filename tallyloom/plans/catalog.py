@@ -21,15 +21,16 @@ from tallyloom.functions.text import in_domain, map_value, phone_e164, translite
 from tallyloom.operators import audit, checks, conform, dims, facts, forecast, ranking, rfm
 from tallyloom.operators.lookup import heavy_keys, with_position
 from tallyloom.plans import reports
-from tallyloom.plans.batch import batch_counts, resolve_since, run_batch
-from tallyloom.plans.testmart import CODE_A, CODE_B, CODES, COMPANIES, Mart, catalogs, city_maps
+from tallyloom.plans.batch import batch_counts, conform_orders, resolve_since, run_batch
+from tallyloom.plans.testmart import CODE_A, CODE_B, CODES, COMPANIES, PRODUCT_PREFIX, Mart, city_maps
 from tallyloom.plans.testmart import mart, regions, table
+from tallyloom.plans.warehouse import DIMENSIONS
 from tallyloom.runtime import literal_rows, materialize, scratch_dir
 from tallyloom.schemas import CUSTOMER_ATTRIBUTES, CUSTOMER_KEY, PRODUCT_ATTRIBUTES, PRODUCT_KEY
 from tallyloom.sources import results
-from tallyloom.sources.mappings import read_catalog, read_city_map
+from tallyloom.sources.mappings import judge_catalog, read_catalog, read_catalog_rows, read_city_map
 from tallyloom.sources.operational import read_source_a, read_source_b
-from tallyloom.streaming.incremental import stream_orders
+from tallyloom.streaming.incremental import Landing, stream_orders, stream_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
@@ -107,12 +108,24 @@ def _(m):
 
 @mart_query("A2_source_b_transactions")
 def _(m):
-    return source_b_of(m)["transactions"].drop("tx_time")
+    return source_b_of(m)["transactions"]
 
 
 @mart_query("A3_orders_since")
 def _(m):
-    return source_a_of(m, dt.date(1998, 7, 1))["orders"].drop("unit_price_at_sale")
+    """Orders of both sources since a date, each with all its columns."""
+    since, parts = dt.date(1998, 7, 1), []
+    for feed, extract in zip(m.feeds, (source_a_of(m, since), source_b_of(m, since))):
+        at, orders = feed.spec.orders, extract[feed.spec.orders.table]
+        named = {"order_id": at.id, "customer_id": at.customer, "product_id": at.product, "quantity": at.quantity,
+                 "unit_price": at.price, "stored_total": at.total, "order_date": at.date}
+        wide = {"unit_price": "decimal(14,2)", "stored_total": "bigint"}
+        parts.append(orders.select(
+            F.lit(feed.spec.code).alias("source_system"),
+            *[(F.col(c) if c else F.lit(None)).cast(wide.get(n, "string" if n.endswith("_id") else "date" if n == "order_date" else "int")).alias(n)
+              for n, c in named.items()],
+            (F.col("tx_time") if "tx_time" in orders.columns else F.lit(None).cast("string")).alias("order_time")))
+    return conform.union_all(parts)
 
 
 def runs_from_events(spark: SparkSession, sf_dir: str, ok: Column) -> DataFrame:
@@ -146,11 +159,22 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Catch-up per user of the event log, as if each were a loader of its own."""
     runs = runs_from_events(spark, sf_dir, F.col("event_type") == "purchase")
-    now = runs.agg(F.max("started_at").alias("_now"))
-    done = F.when(F.col("status") == "succeeded", F.col("started_at"))
-    last = runs.groupBy("user_id").agg(F.max(done).alias("last_success"))
-    age, due = audit.catchup_columns(F.col("_now"))
-    return last.crossJoin(now).select("user_id", age.alias("age_seconds"), due.alias("due"))
+    now = runs.agg(F.max("started_at")).first()[0]
+    return audit.catchup_due(runs, F.lit(now), by=["user_id"]).drop("last_success")
+
+
+@mart_query("A6_catchup_per_feed")
+def _(m):
+    """Catch-up of each source by the run log, as the loader asks for it."""
+    runs = m.warehouse.runs()
+    now = runs.agg(F.max("started_at")).first()[0]
+    moments = {"at_once": now, "in_nine_days": now + dt.timedelta(days=9)}
+    parts = [
+        audit.catchup_due(runs, F.lit(at), feed=code).select(
+            F.lit(code).alias("company_code"), F.lit(when).alias("moment"), "age_seconds", "due")
+        for code in [*CODES, "OPC"] for when, at in moments.items()
+    ]
+    return conform.union_all(parts)
 
 
 @query("A7_city_map")
@@ -163,15 +187,34 @@ def _(spark, sf_dir):
     return conform.union_all([df.withColumn("form", F.lit(form)) for form, df in maps.items()])
 
 
+def written_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """A catalog file of the listed products, with prices and categories of both sources."""
+    path = f"{scratch_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    listed = table(spark, sf_dir, "part").where(F.col("p_partkey") % 11 != 0)
+    kind = F.col("p_partkey") % 3
+    title = F.when(kind == 0, "Internet").when(kind == 1, "Voice").otherwise("Bundle")
+    price = F.col("p_retailprice").cast("decimal(12,2)")
+    columns = {
+        "offering_id": F.col("p_partkey").cast("string"), "category": title,
+        "local_name": F.concat(F.lit(PRODUCT_PREFIX), F.col("p_partkey").cast("string")),
+        "local_price": (F.floor(price) + F.when(F.col("p_partkey") % 17 == 0, 1).otherwise(0)).cast("string"),
+        "mapped_category": F.when(F.col("p_partkey") % 19 == 0, title).otherwise(F.upper(title)),
+        "english_name": F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey").cast("string")),
+        "english_price": price.cast("string"),
+    }
+    listed.select(*[c.alias(n) for n, c in columns.items()]).write.csv(path, header=True)
+    return path
+
+
 @query("A8_catalog")
 def _(spark, sf_dir):
-    path = f"{scratch_dir(spark)}/catalog-{uuid.uuid4().hex}"
-    names = catalogs(spark, sf_dir)["local_name"]
-    columns = {"offering_id": F.lit("1"), "category": F.lit("Voice"), "local_name": F.col("key"),
-               "local_price": F.lit("1"), "mapped_category": F.lit("VOICE"),
-               "english_name": F.col("value"), "english_price": F.lit("1.00")}
-    names.select(*[c.alias(n) for n, c in columns.items()]).write.csv(path, header=True)
-    forms = read_catalog(spark, path)
+    """The offerings of both sources, and whether each is consistent."""
+    return judge_catalog(read_catalog_rows(spark, written_catalog(spark, sf_dir)))
+
+
+@query("A8_catalog_names")
+def _(spark, sf_dir):
+    forms = read_catalog(spark, written_catalog(spark, sf_dir))
     return conform.union_all([df.withColumn("form", F.lit(form)) for form, df in forms.items()])
 
 
@@ -212,11 +255,35 @@ def _(m):
     return rounded(results.read_forecast(m.spark, path)["metrics"], rmse=2, mape=6)
 
 
+def result_folders(m: Mart, write: Callable[[str], None]) -> dict[str, str]:
+    """Folders of a stored result, of none, and of one whose file is torn."""
+    base = f"{scratch_dir(m.spark)}/results-{uuid.uuid4().hex}"
+    folders = {case: f"{base}/{case}" for case in ("stored", "missing", "torn")}
+    write(folders["stored"])
+    # a text file where the result should be, with other columns than it has
+    m.spark.range(1).selectExpr("'no,result' AS value").write.text(folders["torn"])
+    return folders
+
+
 @mart_query("A15_stored_or_computed")
 def _(m):
-    missing = f"{scratch_dir(m.spark)}/missing-{uuid.uuid4().hex}"
-    return results.load_or_compute(
-        lambda: results.read_rfm(m.spark, missing), lambda: rfm.segment_summary(segmented_of(m)))
+    segmented = materialize(segmented_of(m), "segmented")
+    folders = result_folders(m, lambda path: results.write_rfm(segmented, path))
+    return conform.union_all([
+        results.load_or_compute(lambda p=path: results.read_rfm(m.spark, p), lambda: rfm.segment_summary(segmented))
+        .withColumn("case", F.lit(case)) for case, path in folders.items()])
+
+
+@mart_query("A15_forecast_stored_or_computed")
+def _(m):
+    fit = fit_of(m)
+    folders = result_folders(m, lambda path: results.write_forecast(forecast.forecast_long(fit, KEYS), path))
+    found = conform.union_all([
+        results.load_or_compute(
+            lambda p=path: results.read_forecast(m.spark, p)["metrics"],
+            lambda: forecast.forecast_metrics(forecast.fitted_rows(fit, KEYS), KEYS),
+        ).select("company_code", "rmse", "mape", F.lit(case).alias("case")) for case, path in folders.items()])
+    return rounded(found, rmse=2, mape=6)
 
 
 # -- B: conformance ------------------------------------------------------
@@ -237,13 +304,9 @@ def conformed_products(m: Mart) -> DataFrame:
 
 
 def conformed_sales(m: Mart) -> DataFrame:
-    t = m.tables
-    parts = []
-    for feed, extract in zip(m.feeds, (source_a_of(m), source_b_of(m))):
-        parts.append(conform.conform_sales(
-            extract[feed.spec.orders.table], feed.spec, t["dim_customer"], t["dim_product"],
-            t["dim_company"], t["dim_date"]))
-    return conform.union_all(parts)
+    """As the loader does it: orders stored once, heavy keys of both dimensions spread."""
+    orders = [x[f.spec.orders.table] for f, x in zip(m.feeds, (source_a_of(m), source_b_of(m)))]
+    return conform_orders(m.feeds, orders, m.tables)
 
 
 @mart_query("B1_phone_e164")
@@ -350,39 +413,55 @@ def _(m):
 
 @mart_query("B16_row_payload")
 def _(m):
-    rejected = conformed_customers(m).where(F.col("rejected") & (F.col("source_system") == CODE_A))
-    return rejected.select("source_row")
+    """Quarantined rows of customers, products and orders of both sources, as they came."""
+    parts = [judged.where("reason_code IS NOT NULL").select("source_system", "source_table", "source_row")
+             for judged in (conformed_customers(m), conformed_products(m), conformed_sales(m))]
+    return conform.union_all(parts)
 
 
 # -- C: load -------------------------------------------------------------
-def two_loads(m: Mart) -> tuple[DataFrame, DataFrame]:
-    """A stored customer dimension, and a second batch that renames and adds."""
+def two_batches(m: Mart) -> tuple[DataFrame, DataFrame]:
+    """Customers of a first batch, and of a second that renames and adds."""
     good = conform.good_customers(conformed_customers(m))
-    first = good.where(F.month("signup_date") <= 8)
-    empty = literal_rows(m.spark, [], schemas.DIM_CUSTOMER)
-    stored = dims.upsert_scd1(empty, first, CUSTOMER_KEY, CUSTOMER_ATTRIBUTES, "customer_sk", "one", LOADED_AT)
     second = good.where(F.month("signup_date") >= 5)
     copies = second.withColumn("_line", F.lit(1)).unionByName(
         second.withColumns({"full_name": F.upper("full_name"), "_line": F.lit(2)}))
-    return stored, dims.last_per_key(copies, CUSTOMER_KEY, [F.col("_line")]).drop("_line")
+    return (good.where(F.month("signup_date") <= 8),
+            dims.last_per_key(copies, CUSTOMER_KEY, [F.col("_line")]).drop("_line"))
+
+
+def two_loads(m: Mart) -> tuple[DataFrame, DataFrame]:
+    """The customer dimension after the first batch, and the second batch."""
+    first, second = two_batches(m)
+    empty = literal_rows(m.spark, [], schemas.DIM_CUSTOMER)
+    return dims.upsert_scd1(empty, first, CUSTOMER_KEY, CUSTOMER_ATTRIBUTES, "customer_sk", "one", LOADED_AT), second
+
+
+def store_twice(m: Mart, name: str, first: DataFrame, second: DataFrame, attributes: list[str]) -> DataFrame:
+    """A dimension after two batches, the second of which writes the parts it touches."""
+    fresh = m.new_warehouse(f"{name}-{uuid.uuid4().hex}")
+    _, keys, sk = DIMENSIONS[name]
+    for batch_id, rows in (("one", first), ("two", second)):
+        def upsert(current, last, rows=rows, batch_id=batch_id):
+            return dims.upsert_scd1(current, rows, keys, attributes, sk, batch_id, LOADED_AT, last=last)
+
+        fresh.update_dimension(name, rows, batch_id, upsert)
+        fresh.log(audit.close_run(m.spark, batch_id, "full", LOADED_AT, LOADED_AT, 0, 0, 0, "succeeded"))
+    return fresh.tables()[name].drop("etl_loaded_at")
 
 
 @mart_query("C1_upsert_customers")
 def _(m):
-    stored, incoming = two_loads(m)
-    return dims.upsert_scd1(stored, incoming, CUSTOMER_KEY, CUSTOMER_ATTRIBUTES, "customer_sk", "two",
-                            LOADED_AT).drop("phone_e164", "signup_date", "etl_loaded_at")
+    first, second = two_batches(m)
+    return store_twice(m, "dim_customer", first, second, CUSTOMER_ATTRIBUTES)
 
 
 @mart_query("C2_upsert_products")
 def _(m):
     good = conform.good_products(conformed_products(m))
-    empty = literal_rows(m.spark, [], schemas.DIM_PRODUCT)
-    stored = dims.upsert_scd1(empty, good, PRODUCT_KEY, PRODUCT_ATTRIBUTES, "product_sk", "one", LOADED_AT)
     dearer = good.where(F.col("category") == "VOICE").withColumn(
         "unit_price_syp", to_money(F.col("unit_price_syp") * 2))
-    return dims.upsert_scd1(stored, dearer, PRODUCT_KEY, PRODUCT_ATTRIBUTES, "product_sk", "two",
-                            LOADED_AT).drop("etl_loaded_at")
+    return store_twice(m, "dim_product", good, dearer, PRODUCT_ATTRIBUTES)
 
 
 @mart_query("C3_assign_sk")
@@ -393,19 +472,30 @@ def _(m):
 
 @mart_query("C4_resolve_sk")
 def _(m):
-    orders = source_a_of(m)["orders"]
-    heavy = heavy_keys(orders, "customer_id")
-    keyed = conform.resolve_sk(with_position(orders), m.tables["dim_customer"], CODE_A, "customer_id",
-                               "source_customer_id", "customer_sk", heavy)
-    return keyed.select("order_id", "customer_id", "customer_sk")
+    """Surrogate keys of customer and product for the orders of both sources."""
+    parts = []
+    for feed, extract in zip(m.feeds, (source_a_of(m), source_b_of(m))):
+        at, code = feed.spec.orders, feed.spec.code
+        orders = materialize(extract[at.table].select(at.id, at.customer, at.product), "orders")
+        keyed = with_position(orders)
+        for column, dim, natural, sk in ((at.customer, "dim_customer", "source_customer_id", "customer_sk"),
+                                         (at.product, "dim_product", "source_product_id", "product_sk")):
+            keyed = conform.resolve_sk(keyed, m.tables[dim], code, column, natural, sk, heavy_keys(orders, column))
+        parts.append(keyed.select(
+            F.lit(code).alias("source_system"), F.col(at.id).alias("order_id"), F.col(at.customer).alias("customer"),
+            F.col(at.product).alias("product"), "customer_sk", "product_sk"))
+    return conform.union_all(parts)
 
 
 @mart_query("C6_insert_absent")
 def _(m):
+    """New facts against a bucketed table that holds those before 1998."""
+    fresh = m.new_warehouse(f"buckets-{uuid.uuid4().hex}")
+    buckets, keys = fresh.layout()[0], schemas.FACT_KEY
     stored = m.tables["fact_sales"].where(F.col("date_sk") < 19980101)
+    fresh.write_facts(stored.repartition(buckets, *keys), "old")
     new = conform.good_sales(conformed_sales(m))
-    return facts.insert_absent(stored, new, schemas.FACT_KEY, schemas.FACT_ORDER).select(
-        "company_sk", "source_order_id", "date_sk", "product_sk", "quantity", "total_amount_syp")
+    return facts.insert_absent(fresh.facts(["old"]), new, keys, schemas.FACT_ORDER, buckets).select(*schemas.FACT_COLUMNS)
 
 
 @mart_query("C7_upsert_counts")
@@ -428,13 +518,23 @@ def _(spark, sf_dir):
 
 @mart_query("C9_constraints")
 def _(m):
+    """Every constraint of the star schema over all rows that come in, before the
+    quarantine takes what breaks one."""
     t = m.tables
-    return facts.check_constraints(
+    sales = facts.check_constraints(
         materialize(conformed_sales(m).select(*schemas.FACT_COLUMNS), "candidates"),
-        required=["customer_sk", "product_sk"],
+        required=schemas.FACT_COLUMNS,
         predicates={"quantity > 0": F.col("quantity") > 0},
-        foreign_keys={"date_sk": t["dim_date"], "company_sk": t["dim_company"]},
+        foreign_keys={"date_sk": t["dim_date"], "customer_sk": t["dim_customer"],
+                      "product_sk": t["dim_product"], "company_sk": t["dim_company"]},
         unique=schemas.FACT_KEY)
+    customers = facts.check_constraints(
+        conformed_customers(m), required=[*CUSTOMER_KEY, *CUSTOMER_ATTRIBUTES], unique=CUSTOMER_KEY)
+    products = facts.check_constraints(
+        conformed_products(m), required=[*PRODUCT_KEY, *PRODUCT_ATTRIBUTES],
+        predicates={"category in domain": in_domain(F.col("category"), schemas.CATEGORIES)}, unique=PRODUCT_KEY)
+    named = {"fact_sales": sales, "dim_customer": customers, "dim_product": products}
+    return conform.union_all([df.withColumn("table", F.lit(name)) for name, df in named.items()])
 
 
 @mart_query("C10_quarantine")
@@ -820,6 +920,13 @@ def _(m):
     return conform.union_all(parts)
 
 
+@mart_query("I9_contract_verdict")
+def _(m):
+    a, b = ({name: feed.reader(name) for name in names}
+            for feed, names in zip(m.feeds, (schemas.LAYOUT_A, schemas.LAYOUT_B)))
+    return checks.contract_verdict(a, m.feeds[0].spec, "cities", b, m.feeds[1].spec, "clients", "tx_time")
+
+
 # -- J: text -------------------------------------------------------------
 @query("J1_transliterate")
 def _(spark, sf_dir):
@@ -836,18 +943,23 @@ def _(spark, sf_dir):
 # -- L: stream -----------------------------------------------------------
 @mart_query("L1_stream_load")
 def _(m):
-    """Orders of source A arrive as files and are loaded by the stream."""
+    """Orders of both sources arrive as files and are loaded by the stream; a second call
+    finds nothing new."""
     name = f"stream-{uuid.uuid4().hex}"
-    fresh = m.new_warehouse(name)
-    dimensions = run_dimensions_only(m, fresh)
-    feed = m.feeds[0]
-    landing = f"{m.sources_root}/{feed.spec.orders.table}"
-    stream_orders(dimensions, feed, schemas.LAYOUT_A["orders"], landing,
-                  f"{m.root}/{name}-checkpoint", name).awaitTermination()
-    return dimensions.tables()["fact_sales"].select(
+    fresh = run_dimensions_only(m, m.new_warehouse(name))
+    for _ in range(2):
+        stream_sources(fresh, landings(m), f"{m.root}/{name}-checkpoint", name).awaitTermination()
+    return fresh.tables()["fact_sales"].select(
         "company_sk", "source_order_id", "date_sk", "customer_sk", "product_sk", "quantity", "total_amount_syp")
 
 
+def landings(m: Mart) -> list[Landing]:
+    return [
+        Landing(feed, layout[feed.spec.orders.table], f"{m.sources_root}/{feed.spec.orders.table}")
+        for feed, layout in zip(m.feeds, (schemas.LAYOUT_A, schemas.LAYOUT_B))
+    ]
+
+
 def run_dimensions_only(m: Mart, fresh):
     """Load dimensions, and the orders of no day, into a new warehouse."""
     after_all = dt.date(9999, 1, 1)

@@ -47,7 +47,8 @@ order_lines AS (
   SELECT l_orderkey || '-' || l_linenumber AS line, l_orderkey, o_custkey, l_partkey,
          CASE WHEN l_orderkey % 89 = 3 THEN 0 ELSE CAST(l_quantity AS INTEGER) END AS quantity,
          CAST(floor(p_retailprice) AS INTEGER) AS whole_price,
-         CAST(p_retailprice AS DECIMAL(12,2)) AS price, CAST(o_orderdate AS DATE) AS odate
+         CAST(p_retailprice AS DECIMAL(12,2)) AS price, CAST(o_orderdate AS DATE) AS odate,
+         strftime(CAST(o_orderdate AS TIMESTAMP), '%H:%M:%S') AS otime
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
 ),
 a_orders AS (
@@ -59,7 +60,7 @@ a_orders AS (
 ),
 b_transactions AS (
   SELECT md5(line) AS tx_id, md5('client-' || o_custkey) AS client_id, md5('item-' || l_partkey) AS item_id,
-         quantity AS qty, price AS price_at_tx, odate AS tx_date
+         quantity AS qty, price AS price_at_tx, odate AS tx_date, otime AS tx_time
   FROM order_lines WHERE o_custkey % 2 = 1
 ),
 cities AS (SELECT 'مدينة ' || n_nationkey AS ar, n_name AS en FROM nation WHERE n_nationkey < 23),
@@ -125,11 +126,11 @@ sales_keyed AS (
   SELECT 'OPA' AS source_system, 'orders' AS source_table, 1 AS company_sk, order_id AS source_order_id,
          customer_id AS natural_customer, product_id AS natural_product, order_date AS odate, quantity,
          CAST(unit_price_at_sale AS DECIMAL(14,2)) AS unit_price_syp, total_price AS stored,
-         'customer_id' AS customer_column, 'product_id' AS product_column
+         'customer_id' AS customer_column, 'product_id' AS product_column, NULL AS otime
   FROM a_orders
   UNION ALL
   SELECT 'OPB', 'transactions', 2, tx_id, client_id, item_id, tx_date, qty,
-         CAST(price_at_tx AS DECIMAL(14,2)), NULL, 'client_id', 'item_id'
+         CAST(price_at_tx AS DECIMAL(14,2)), NULL, 'client_id', 'item_id', tx_time
   FROM b_transactions
 ),
 sales_resolved AS (
@@ -402,14 +403,25 @@ added AS (
     SELECT * FROM incoming ANTI JOIN stored USING (source_system, source_customer_id)) i, last_sk)"""
 
 
+# Columns that must not be null, by table and where its rows come from.
+_REQUIRED = [
+    ("fact_sales", "sales_judged",
+     "date_sk customer_sk product_sk company_sk quantity unit_price_syp total_amount_syp source_order_id"),
+    ("dim_customer", "customers_reasoned", "source_system source_customer_id full_name phone_e164 city signup_date"),
+    ("dim_product", "products_reasoned", "source_system source_product_id product_name_en category unit_price_syp"),
+]
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         # -- sources
         "A1_source_a_customers": _sql("", "SELECT * FROM a_customers"),
         "A1_source_a_products": _sql("", "SELECT product_id, product_name, category, CAST(unit_price AS BIGINT) AS unit_price FROM a_products"),
         "A2_source_b_clients": _sql("", "SELECT * FROM b_clients"),
-        "A2_source_b_transactions": _sql("", f"SELECT tx_id, client_id, item_id, CAST(qty AS BIGINT) AS qty, {money('price_at_tx')} AS price_at_tx, tx_date FROM b_transactions"),
-        "A3_orders_since": _sql("", "SELECT order_id, customer_id, product_id, CAST(quantity AS BIGINT) AS quantity, CAST(total_price AS BIGINT) AS total_price, order_date FROM a_orders WHERE order_date >= DATE '1998-07-01'"),
+        "A2_source_b_transactions": _sql("", f"SELECT tx_id, client_id, item_id, CAST(qty AS BIGINT) AS qty, {money('price_at_tx')} AS price_at_tx, tx_date, tx_time FROM b_transactions"),
+        "A3_orders_since": _sql("", f"""SELECT 'OPA' AS source_system, order_id, customer_id, product_id, CAST(quantity AS BIGINT) AS quantity, {money('unit_price_at_sale')} AS unit_price,
+              CAST(total_price AS BIGINT) AS stored_total, order_date, CAST(NULL AS VARCHAR) AS order_time FROM a_orders WHERE order_date >= DATE '1998-07-01'
+            UNION ALL SELECT 'OPB', tx_id, client_id, item_id, qty, {money('price_at_tx')}, NULL, tx_date, tx_time FROM b_transactions WHERE tx_date >= DATE '1998-07-01'"""),
         "A4_resolve_since": """WITH r AS (SELECT MAX(CASE WHEN event_type <> 'error' THEN ts END) AS ok FROM events)
             SELECT 'full' AS mode, CAST(NULL AS DATE) AS since UNION ALL SELECT 'since', DATE '1998-07-01'
             UNION ALL SELECT 'incremental', CAST(ok AS DATE) FROM r
@@ -420,9 +432,19 @@ def oracle_sql() -> dict[str, str]:
               last IS NULL OR floor(epoch(now_ts)) - floor(epoch(last)) > 691200 AS due
             FROM (SELECT user_id, MAX(CASE WHEN event_type = 'purchase' THEN ts END) AS last FROM events GROUP BY user_id),
                  (SELECT MAX(ts) AS now_ts FROM events)""",
+        "A6_catchup_per_feed": """SELECT company_code, moment, CASE WHEN company_code <> 'OPC' THEN age END AS age_seconds, company_code = 'OPC' OR age > 691200 AS due
+            FROM (VALUES ('OPA'), ('OPB'), ('OPC')) c(company_code), (VALUES ('at_once', CAST(0 AS BIGINT)), ('in_nine_days', CAST(777600 AS BIGINT))) m(moment, age)""",
         "A7_city_map": """SELECT 'ar' AS form, 'مدينة ' || n_nationkey AS key, n_name AS value FROM nation WHERE n_nationkey < 23
             UNION ALL SELECT 'en', n_name, n_name FROM nation WHERE n_nationkey < 23""",
-        "A8_catalog": """SELECT 'local_name' AS form, 'منتج ' || p_partkey AS key, p_name || ' ' || p_partkey AS value
+        "A8_catalog": """SELECT CAST(p_partkey AS VARCHAR) AS offering_id, category, 'منتج ' || p_partkey AS local_name,
+              CAST(local_price AS VARCHAR) AS local_price, mapped_category, p_name || ' ' || p_partkey AS english_name, CAST(price AS VARCHAR) AS english_price,
+              local_price = floor(price) AS prices_match, mapped_category = upper(category) AS case_differs
+            FROM (SELECT *, CAST(floor(price) AS BIGINT) + CASE WHEN p_partkey % 17 = 0 THEN 1 ELSE 0 END AS local_price,
+                CASE WHEN p_partkey % 19 = 0 THEN category ELSE upper(category) END AS mapped_category
+              FROM (SELECT *, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
+                  CASE p_partkey % 3 WHEN 0 THEN 'Internet' WHEN 1 THEN 'Voice' ELSE 'Bundle' END AS category
+                FROM part WHERE p_partkey % 11 <> 0))""",
+        "A8_catalog_names": """SELECT 'local_name' AS form, 'منتج ' || p_partkey AS key, p_name || ' ' || p_partkey AS value
             FROM part WHERE p_partkey % 11 <> 0
             UNION ALL SELECT 'english_name', p_name || ' ' || p_partkey, p_name || ' ' || p_partkey FROM part WHERE p_partkey % 11 <> 0""",
         "A9_C5_company_keys": _sql("", """SELECT s.source_system AS company_code, company_sk, company_name_ar, company_name_en, COUNT(*) AS lines
@@ -431,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
               month(d) AS month, monthname(d) AS month_name, day(d) AS day, dayofweek(d) AS day_of_week, dayofweek(d) IN (5, 6) AS is_weekend
             FROM (SELECT unnest(generate_series(MIN(CAST(o_orderdate AS DATE)), MAX(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS d FROM orders)""",
         "A11_A13_rfm_store": _sql(_RFM_SCORED, _SUMMARY_SELECT),
-        "A15_stored_or_computed": _sql(_RFM_SCORED, _SUMMARY_SELECT),
+        "A15_stored_or_computed": _sql(_RFM_SCORED, f"SELECT * FROM ({_SUMMARY_SELECT}), (VALUES ('stored'), ('missing'), ('torn')) c(\"case\")"),
         # -- conformance
         "B1_phone_e164": _sql("", "SELECT source_customer_id, phone_e164 FROM customers_judged WHERE source_system = 'OPA'"),
         "B2_phone_national": _sql("", "SELECT source_customer_id, phone_e164 FROM customers_judged WHERE source_system = 'OPB'"),
@@ -449,33 +471,53 @@ def oracle_sql() -> dict[str, str]:
         "B14_conform_sales": _sql("", f"SELECT source_system, source_order_id, date_sk, customer_sk, product_sk, company_sk, quantity, {money('unit_price_syp')} AS unit_price_syp, {money('total_amount_syp')} AS total_amount_syp, reason_code, reason, rejected FROM sales_judged"),
         "B15_split_quarantine": _sql("", """SELECT 'good' AS side, source_system, NULL AS reason_code, COUNT(*) AS n FROM sales_judged WHERE NOT rejected GROUP BY source_system
             UNION ALL SELECT 'bad', source_system, reason_code, COUNT(*) FROM sales_judged WHERE reason_code IS NOT NULL GROUP BY source_system, reason_code"""),
-        "B16_row_payload": _sql("", """SELECT to_json(struct_pack(customer_id := a.customer_id, full_name := a.full_name, phone := a.phone,
+        "B16_row_payload": _sql("", """SELECT source_system, source_table, to_json(struct_pack(customer_id := a.customer_id, full_name := a.full_name, phone := a.phone,
               city_ar := a.city_ar, signup_date := CAST(a.signup_date AS VARCHAR)))::VARCHAR AS source_row
-            FROM a_customers a JOIN customers_reasoned r ON r.source_system = 'OPA' AND r.source_customer_id = a.customer_id
-            WHERE reason_code IS NOT NULL"""),
+            FROM a_customers a JOIN customers_reasoned r ON r.source_system = 'OPA' AND r.source_customer_id = a.customer_id WHERE reason_code IS NOT NULL
+            UNION ALL SELECT source_system, source_table, to_json(struct_pack(client_id := b.client_id, client_name := b.client_name, msisdn := b.msisdn,
+              city_en := b.city_en, registered_at := CAST(b.registered_at AS VARCHAR)))::VARCHAR
+            FROM b_clients b JOIN customers_reasoned r ON r.source_system = 'OPB' AND r.source_customer_id = b.client_id WHERE reason_code IS NOT NULL
+            UNION ALL SELECT source_system, source_table, to_json(struct_pack(product_id := a.product_id, product_name := a.product_name, category := a.category,
+              unit_price := a.unit_price))::VARCHAR
+            FROM a_products a JOIN products_reasoned r ON r.source_system = 'OPA' AND r.source_product_id = a.product_id WHERE reason_code IS NOT NULL
+            UNION ALL SELECT source_system, source_table, to_json(struct_pack(item_id := b.item_id, item_name := b.item_name, item_type := b.item_type,
+              price_syp := CAST(b.price_syp AS VARCHAR)))::VARCHAR
+            FROM b_items b JOIN products_reasoned r ON r.source_system = 'OPB' AND r.source_product_id = b.item_id WHERE reason_code IS NOT NULL
+            UNION ALL SELECT source_system, source_table, to_json(struct_pack(order_id := source_order_id, customer_id := natural_customer, product_id := natural_product,
+              quantity := quantity, unit_price_at_sale := CAST(unit_price_syp AS INTEGER), total_price := stored, order_date := CAST(odate AS VARCHAR)))::VARCHAR
+            FROM sales_judged WHERE source_system = 'OPA' AND reason_code IS NOT NULL
+            UNION ALL SELECT source_system, source_table, to_json(struct_pack(tx_id := source_order_id, client_id := natural_customer, item_id := natural_product,
+              qty := quantity, price_at_tx := CAST(unit_price_syp AS VARCHAR), tx_date := CAST(odate AS VARCHAR), tx_time := otime))::VARCHAR
+            FROM sales_judged WHERE source_system = 'OPB' AND reason_code IS NOT NULL"""),
         # -- load
-        "C1_upsert_customers": _sql(_TWO_LOADS, """SELECT customer_sk, s.source_system, s.source_customer_id, coalesce(i.full_name, s.full_name) AS full_name, s.city,
+        "C1_upsert_customers": _sql(_TWO_LOADS, """SELECT customer_sk, s.source_system, s.source_customer_id, coalesce(i.full_name, s.full_name) AS full_name, s.phone_e164, s.city, s.signup_date,
               CASE WHEN i.source_system IS NULL THEN 'one' ELSE 'two' END AS etl_batch_id
             FROM stored s LEFT JOIN incoming i ON i.source_system = s.source_system AND i.source_customer_id = s.source_customer_id
-            UNION ALL SELECT customer_sk, source_system, source_customer_id, full_name, city, 'two' FROM added"""),
+            UNION ALL SELECT customer_sk, source_system, source_customer_id, full_name, phone_e164, city, signup_date, 'two' FROM added"""),
         "C2_upsert_products": _sql("", f"""SELECT product_sk, source_system, source_product_id, product_name_en, category,
               {money("CASE WHEN category = 'VOICE' THEN CAST(unit_price_syp * 2 AS DECIMAL(14,2)) ELSE unit_price_syp END")} AS unit_price_syp,
               CASE WHEN category = 'VOICE' THEN 'two' ELSE 'one' END AS etl_batch_id FROM dim_product"""),
         "C3_assign_sk": _sql(_TWO_LOADS, "SELECT customer_sk, source_system, source_customer_id FROM added"),
-        "C4_resolve_sk": _sql("", "SELECT source_order_id AS order_id, natural_customer AS customer_id, customer_sk FROM sales_resolved WHERE source_system = 'OPA'"),
-        "C6_insert_absent": _sql("", f"SELECT company_sk, source_order_id, date_sk, product_sk, quantity, {money('total_amount_syp')} AS total_amount_syp FROM fact_sales WHERE date_sk >= 19980101"),
+        "C4_resolve_sk": _sql("", "SELECT source_system, source_order_id AS order_id, natural_customer AS customer, natural_product AS product, customer_sk, product_sk FROM sales_resolved"),
+        "C6_insert_absent": _sql("", f"""SELECT date_sk, customer_sk, product_sk, company_sk, quantity, {money('unit_price_syp')} AS unit_price_syp, {money('total_amount_syp')} AS total_amount_syp,
+              source_order_id FROM fact_sales WHERE date_sk >= 19980101"""),
         "C7_upsert_counts": _sql(_TWO_LOADS, "SELECT (SELECT COUNT(*) FROM added) AS inserted, (SELECT COUNT(*) FROM incoming) - (SELECT COUNT(*) FROM added) AS updated"),
         "C8_run_log": """SELECT batch_id, line.status AS status, line.ts AS logged_at FROM (
               SELECT user_id AS batch_id, arg_max({'status': status, 'ts': ts}, (status = 'succeeded', ts, status <> 'running')) AS line FROM (
                 SELECT user_id, ts, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'running' ELSE 'succeeded' END AS status FROM events)
               GROUP BY user_id)""",
-        "C9_constraints": _sql("", """SELECT 'customer_sk is not null' AS "constraint", COUNT(*) FILTER (customer_sk IS NULL) AS violations FROM sales_judged
-            UNION ALL SELECT 'product_sk is not null', COUNT(*) FILTER (product_sk IS NULL) FROM sales_judged
-            UNION ALL SELECT 'quantity > 0', COUNT(*) FILTER (quantity <= 0) FROM sales_judged
-            UNION ALL SELECT 'date_sk has a dimension row', COUNT(*) FROM sales_judged WHERE date_sk NOT IN (SELECT date_sk FROM dim_date)
-            UNION ALL SELECT 'company_sk has a dimension row', COUNT(*) FROM sales_judged WHERE company_sk NOT IN (SELECT company_sk FROM dim_company)
-            UNION ALL SELECT 'company_sk, source_order_id is unique', coalesce(SUM(n - 1), 0) FROM (
-              SELECT COUNT(*) AS n FROM sales_judged GROUP BY company_sk, source_order_id HAVING COUNT(*) > 1)"""),
+        "C9_constraints": _sql("", " UNION ALL ".join([
+            *[f"""SELECT '{name}' AS "table", '{c} is not null' AS "constraint", COUNT(*) FILTER ({c} IS NULL) AS violations FROM {source}"""
+              for name, source, columns in _REQUIRED for c in columns.split()],
+            """SELECT 'fact_sales', 'quantity > 0', COUNT(*) FILTER (quantity <= 0) FROM sales_judged""",
+            """SELECT 'dim_product', 'category in domain', COUNT(*) FILTER (category IS NULL OR category NOT IN ('INTERNET', 'VOICE', 'BUNDLE')) FROM products_reasoned""",
+            *[f"""SELECT 'fact_sales', '{key} has a dimension row', COUNT(*) FROM sales_judged s ANTI JOIN {dim} d ON d.{key} = s.{key}"""
+              for key, dim in (("date_sk", "dim_date"), ("customer_sk", "dim_customer"), ("product_sk", "dim_product"), ("company_sk", "dim_company"))],
+            *[f"""SELECT '{name}', '{keys} is unique', coalesce(SUM(n - 1), 0) FROM (SELECT COUNT(*) AS n FROM {source} GROUP BY {keys} HAVING COUNT(*) > 1)"""
+              for name, source, keys in (("fact_sales", "sales_judged", "company_sk, source_order_id"),
+                                         ("dim_customer", "customers_reasoned", "source_system, source_customer_id"),
+                                         ("dim_product", "products_reasoned", "source_system, source_product_id"))],
+        ])),
         "C10_quarantine": _sql("", "SELECT 'first' AS batch_id, source_system, source_table, reason_code, reason FROM errors"),
         "C11_batch_counts": _sql("", """SELECT (SELECT COUNT(*) FROM customer) + 2 * (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM sales_keyed) AS rows_extracted,
               (SELECT COUNT(*) FROM fact_sales) AS rows_loaded, (SELECT COUNT(*) FROM errors) AS rows_quarantined"""),
@@ -559,6 +601,8 @@ def oracle_sql() -> dict[str, str]:
             FROM future JOIN metrics USING (company_code) GROUP BY company_code""", recursive=True),
         "D18_combined_forecast": _sql(_FIT, """SELECT period, round(MAX(CASE company_code WHEN 'OPA' THEN forecast END), 2) AS opa,
               round(MAX(CASE company_code WHEN 'OPB' THEN forecast END), 2) AS opb, round(SUM(forecast), 2) AS combined FROM future GROUP BY period""", recursive=True),
+        "A15_forecast_stored_or_computed": _sql(_FIT, """SELECT company_code, round(rmse, 2) AS rmse, round(mape, 6) AS mape, "case"
+            FROM metrics, (VALUES ('stored'), ('missing'), ('torn')) c("case")""", recursive=True),
         "A12_A14_forecast_store": _sql(_FIT, "SELECT company_code, round(rmse, 2) AS rmse, round(mape, 6) AS mape FROM metrics", recursive=True),
         # -- ranks
         "G1_global_row_number": _sql("", """SELECT customer_sk, orders, row_number() OVER (ORDER BY orders, customer_sk) AS row_number
@@ -585,6 +629,16 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT source_system, 'phone_format', NULL, round(avg(CASE WHEN phone_e164 IS NULL THEN 0.0 ELSE 1.0 END), 6) FROM customers_judged GROUP BY source_system
             UNION ALL SELECT source_system, 'category_case', NULL, round(avg(CASE WHEN category IS NULL THEN 0.0 ELSE 1.0 END), 6) FROM products_judged GROUP BY source_system
             UNION ALL SELECT c, d, NULL, r FROM (VALUES ('OPA', 'arabic_names', 1.0), ('OPA', 'ascii_names', 0.0), ('OPB', 'arabic_names', 0.0), ('OPB', 'ascii_names', 1.0)) v(c, d, r)"""),
+        "I9_contract_verdict": _sql("", """SELECT c AS "check", TRUE AS passed, CAST(NULL AS DOUBLE) AS rate_a, CAST(NULL AS DOUBLE) AS rate_b
+              FROM (VALUES ('table_naming'), ('key_type'), ('price_type'), ('total_column'), ('date_shape')) v(c)
+            UNION ALL SELECT c, a >= 0.9 AND b >= 0.9 AND other = 0, a, b FROM (
+              SELECT 'phone_format' AS c, round(avg(CASE WHEN source_system = 'OPA' THEN CASE WHEN phone_e164 IS NULL THEN 0.0 ELSE 1.0 END END), 6) AS a,
+                round(avg(CASE WHEN source_system = 'OPB' THEN CASE WHEN phone_e164 IS NULL THEN 0.0 ELSE 1.0 END END), 6) AS b,
+                COUNT(*) FILTER (regexp_matches(raw_phone, CASE source_system WHEN 'OPA' THEN '^09' ELSE '^[+]9639' END)) AS other FROM customers_judged
+              UNION ALL SELECT 'category_case', round(avg(CASE WHEN source_system = 'OPA' THEN CASE WHEN category IS NULL THEN 0.0 ELSE 1.0 END END), 6),
+                round(avg(CASE WHEN source_system = 'OPB' THEN CASE WHEN category IS NULL THEN 0.0 ELSE 1.0 END END), 6),
+                COUNT(*) FILTER (source_system = 'OPA' AND raw_category = upper(raw_category) OR source_system = 'OPB' AND raw_category <> upper(raw_category)) FROM products_judged
+              UNION ALL SELECT * FROM (VALUES ('city_language', 1.0, 1.0, 0), ('name_language', 1.0, 1.0, 0)))"""),
         # -- text
         "J1_transliterate": """SELECT p_partkey, list_aggregate(list_transform(string_split(p_name, ' '),
               lambda w: CASE w WHEN 'small' THEN 'صغير' WHEN 'red' THEN 'أحمر' WHEN 'ring' THEN 'خاتم' WHEN 'widget' THEN 'قطعة' ELSE w END), 'string_agg', ' ') AS name FROM part""",
@@ -592,6 +646,6 @@ def oracle_sql() -> dict[str, str]:
               WHEN v >= 1e3 THEN CAST(CAST(round_even(v / 1e3, 0) AS BIGINT) AS VARCHAR) || 'K' ELSE CAST(CAST(trunc(v) AS BIGINT) AS VARCHAR) END AS amount
             FROM (SELECT o_orderkey, o_totalprice * (1 + o_orderkey % 3 * 10) / (1 + o_orderkey % 2 * 1000) AS v FROM orders)""",
         # -- stream
-        "L1_stream_load": _sql("", f"SELECT company_sk, source_order_id, date_sk, customer_sk, product_sk, quantity, {money('total_amount_syp')} AS total_amount_syp FROM fact_sales WHERE company_sk = 1"),
+        "L1_stream_load": _sql("", f"SELECT company_sk, source_order_id, date_sk, customer_sk, product_sk, quantity, {money('total_amount_syp')} AS total_amount_syp FROM fact_sales"),
     }
     return {key: text.strip() for key, text in sql.items()}

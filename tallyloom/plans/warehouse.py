@@ -20,7 +20,6 @@ import hashlib
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -262,10 +261,14 @@ class Warehouse:
         found = self._existing(path, schema)
         return literal_rows(self.spark, [], schema) if found is None else found
 
+    def _there(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        files = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(files.globStatus(at))
+
     def _existing(self, path: str, schema) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        return self.spark.read.schema(schema).parquet(path) if self._there(path) else None
+
+    def _existing_text(self, path: str) -> str | None:
+        return "\n".join(r[0] for r in self.spark.read.text(path).collect()) if self._there(path) else None

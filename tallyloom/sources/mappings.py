@@ -37,6 +37,22 @@ def read_city_map(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"ar": _last_per_key(lines, "ar", "en"), "en": _last_per_key(lines, "en", "en")}
 
 
+def read_catalog_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Offerings as they are listed: seven text columns, by position."""
+    return spark.read.csv(path, schema=CATALOG, header=True)
+
+
+def judge_catalog(rows: DataFrame) -> DataFrame:
+    """The offerings and whether each is consistent: the same whole price in both sources,
+    the category in title case in one and in capitals in the other."""
+    whole = [F.floor(F.col(c).try_cast("decimal(14,2)")) for c in ("local_price", "english_price")]
+    title, capitals = F.col("category"), F.col("mapped_category")
+    return rows.withColumns({
+        "prices_match": F.coalesce(whole[0] == whole[1], F.lit(False)),
+        "case_differs": F.coalesce((title == F.initcap(title)) & (capitals == F.upper(title)) & (title != capitals), F.lit(False)),
+    })
+
+
 def read_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Two (key, value) frames giving the canonical English product name by local
     name and by English name. The file has seven text columns, by position."""

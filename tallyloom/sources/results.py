@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.forecast import forecast_metrics
 from tallyloom.operators.rfm import RFM_COLUMNS, segment_summary
+from tallyloom.runtime import materialize
 
 RFM_SCHEMA = (
     "customer_sk BIGINT, full_name STRING, city STRING, source_system STRING, company STRING, "
@@ -39,7 +41,9 @@ def _write(writer, path: str, fmt: str) -> None:
 
 def _read(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
     reader = spark.read.schema(schema).format(fmt)
-    return (reader.option("header", True) if fmt == "csv" else reader).load(path)
+    if fmt == "csv":  # a file of other columns, or a line that is none, is an error, not a row of nulls
+        reader = reader.options(header=True, enforceSchema=False, mode="FAILFAST")
+    return reader.load(path)
 
 
 def read_rfm(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -65,11 +69,29 @@ def read_forecast(spark: SparkSession, path: str, fmt: str = "csv") -> dict[str,
     return parts
 
 
+#: Errors of a stored result that is not there or cannot be read.
+_UNUSABLE = ("PATH_NOT_FOUND", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_RECORD_IN_PARSING")
+
+
+def _conditions(error: Exception) -> list[str]:
+    """Error conditions of an error and of what caused it inside Spark."""
+    if isinstance(error, PySparkException):
+        return [error.getCondition() or ""]
+    found, cause = [], error.java_exception
+    while cause is not None:
+        if hasattr(cause, "getCondition") and "SparkThrowable" in str([i.getName() for i in cause.getClass().getInterfaces()]):
+            found.append(cause.getCondition() or "")
+        cause = cause.getCause()
+    return found
+
+
 def load_or_compute(load: Callable[[], DataFrame], compute: Callable[[], DataFrame]) -> DataFrame:
-    """The stored result where it exists, else the computed one."""
+    """The stored result where it exists and can be read, else the computed one. The stored
+    one is read to the end first, as a file that is torn is found out only then: use it for
+    results of a few rows. Other errors are raised."""
     try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        return materialize(load(), "loaded")
+    except (PySparkException, Py4JJavaError) as error:
+        if not any(c.startswith(_UNUSABLE) for c in _conditions(error)):
             raise
         return compute()

@@ -12,7 +12,7 @@ from tallyloom.runtime import materialize, scratch_dir
 from tallyloom.sources import results
 from tallyloom.sources.mappings import read_catalog, read_city_map
 from tallyloom.sources.operational import csv_reader, jdbc_reader, parquet_reader, read_source_a, read_source_b
-from tallyloom.streaming.incremental import load_micro_batch, stream_orders
+from tallyloom.streaming.incremental import Landing, OrderStream, load_micro_batch, stream_orders
 
 
 def test_city_map_is_trimmed_and_the_last_line_wins(spark, tmp_path):
@@ -167,3 +167,38 @@ def test_repeated_micro_batch_is_loaded_once(spark, streaming):
         load_micro_batch(warehouse, feed, landed, "orders-a-0")
     # the second time after facts were written but before the run was closed
     assert rows(warehouse.tables()["fact_sales"], "source_order_id") == [("a",)]
+
+
+def test_only_keys_of_other_loads_are_fed_and_each_once(spark, streaming, city_maps, catalogs, tmp_path):
+    """Loads of others between the calls, files that come twice and late, a broken-off call."""
+    land, run, feed, warehouse = streaming
+    stream = OrderStream(warehouse, [Landing(feed, schemas.LAYOUT_A["orders"], str(tmp_path / "landing"))],
+                         str(tmp_path / "checkpoint"), "orders-a", 1)
+    land(order("a"), order("x", customer=99))
+    assert run() == [("a", 1)] and stream.foreign_batches() == []
+    batch = source_frames(spark, orders=[order("a", quantity=5), order("b", quantity=2)], transactions=[])
+    run_batch(warehouse, feeds(batch), city_maps, catalogs, "full", batch_id="nightly")
+    assert stream.foreign_batches() == ["nightly"]
+    land(order("b", quantity=9), order("c", day=dt.datetime(2024, 1, 1)))  # known from the nightly load, and late
+    stream.conform(stream.landings[0]).awaitTermination()
+    assert stream.feed_seeds() and not stream.feed_seeds() and stream.feed_rows()
+    # the call breaks off before its rows are loaded; the next one takes them up
+    land(order("c", quantity=7), order("x", customer=1))  # again, and now with a customer that is known
+    assert run() == [("a", 1), ("b", 2), ("c", 1), ("x", 1)]
+    assert stream.foreign_batches() == []
+    state = list((tmp_path / "checkpoint" / "keys" / "state").rglob("*.zip")) + list(
+        (tmp_path / "checkpoint" / "keys" / "state").rglob("*.changelog"))
+    assert state  # what the RocksDB store keeps
+
+
+def test_two_sources_in_one_stream(spark, warehouse, city_maps, catalogs, tmp_path):
+    frames = source_frames(spark)
+    run_batch(warehouse, feeds(source_frames(spark, orders=[], transactions=[])), city_maps, catalogs, "full")
+    landings = []
+    for feed, layout in zip(feeds(frames), (schemas.LAYOUT_A, schemas.LAYOUT_B)):
+        path = str(tmp_path / feed.spec.code)
+        frames[feed.spec.orders.table].write.parquet(path)
+        landings.append(Landing(feed, layout[feed.spec.orders.table], path))
+    for _ in range(2):
+        OrderStream(warehouse, landings, str(tmp_path / "checkpoint"), "both").start().awaitTermination()
+    assert rows(warehouse.tables()["fact_sales"], "source_order_id") == [("o1",), ("o2",), ("t1",)]
