@@ -148,7 +148,13 @@ def judge(documents: DataFrame, ratios: Ratios, text: str = "text") -> DataFrame
 
 def trusted_texts(documents: DataFrame, labels: DataFrame, trusted: Column | None = None) -> DataFrame:
     """Texts of the documents that ``labels`` trusts (quality 1). A document is taken
-    once for each of its rows, however often its label is repeated."""
+    once for each of its rows, however often its label is repeated.
+
+    The ids grow with the table, so they are never broadcast: at every size both sides
+    are sorted by id, each text travels once, and rows with one id for very many
+    documents are split by Spark, since a semi join keeps their side whole.
+    """
     good = labels.where(F.col("quality") == 1 if trusted is None else trusted)
     good = good.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    return documents.select("doc_id", "text").join(good, "doc_id", "left_semi").select("text")
+    known = documents.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    return known.join(good.hint("merge"), "doc_id", "left_semi").select("text")

@@ -89,7 +89,15 @@ def test_quality_rules_empty(nothing, spark):
     assert target_llr.judge(nothing, ratios).count() == 0
     labels = spark.createDataFrame([(1, 1), (1, 1), (None, 1), (2, 0)], "doc_id BIGINT, quality INT")
     docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "doc_id BIGINT, text STRING")
-    assert sorted(r.text for r in target_llr.trusted_texts(docs, labels).collect()) == ["a", "b"]
+    for threshold in ("-1", "10485760"):  # one plan at every size
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            trusted = target_llr.trusted_texts(docs, labels)
+            assert sorted(r.text for r in trusted.collect()) == ["a", "b"]
+            plan = trusted._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 # -- line dedup ------------------------------------------------------------------
