@@ -101,9 +101,9 @@ WITH base AS (
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = t.doc_id AND b.start < t.stop AND t.start < b.stop)
 ), every AS (SELECT * FROM base UNION ALL SELECT * FROM tokens),
 owned AS (
-  SELECT value, count(*) AS owners FROM (SELECT DISTINCT value, source FROM every) GROUP BY value
+  SELECT value, count(DISTINCT coalesce(source, '')) AS owners, count(*) AS repositories FROM (SELECT DISTINCT value, source, lang FROM every) GROUP BY value
 ), judged AS (
-  SELECT e.*, owners <= 1 AS live, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS named
+  SELECT e.*, owners <= 1 AND repositories <= 2 AS live, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS named
   FROM every e JOIN owned USING (value)
 ), per_doc AS (
   SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,

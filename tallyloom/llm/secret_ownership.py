@@ -2,9 +2,9 @@
 
 One pass finds the spans of every text: the fixed patterns, and any long token that
 mixes letters and digits. The hashes of all candidates are counted by distinct owners
-and repositories over the whole corpus. A value that many owners have is an example
-that was copied; a value that only one owner has looks live, and such tokens are added
-to the spans even where no fixed pattern names them.
+and repositories over the whole corpus. A value that many owners, or many repositories
+of one owner, have is an example that was copied; any other looks live, and such tokens
+are added to the spans even where no fixed pattern names them.
 
 Positions come from the pieces between the matches: the text is split at the pattern,
 and lengths of pieces and matches are added up, in code points.
@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.lookup import heavy_keys, salted_lookup, with_position
 from tallyloom.runtime import materialize
 
 # Kinds in the order of the output, and their patterns. A run of the
@@ -30,27 +31,76 @@ MIN_ASSIGNED = 8
 
 #: A candidate that more owners have is a copied example.
 MAX_OWNERS = 1
+#: And so is one that more repositories of its owner have.
+MAX_REPOSITORIES = 2
+PIECE = 128
+#: A value with a larger share of all spans is divided into parts of that share.
+HEAVY = 0.01
 
 _FOUND = "array<struct<start:bigint,kind:int,stop:bigint,value:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it:
+    what a lambda takes from outside is worked out again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, op, zero: int) -> Column:
+    """Running results of ``op`` over an array of whole numbers, the current one included.
+
+    Arrays are copied when they grow, so one fold would take time with the square of the
+    length. Pieces of ``PIECE`` are folded by themselves, then their ends.
+    """
+    start = F.lit(zero).cast("bigint")
+    none = F.array().cast("array<bigint>")
+
+    def fold(piece: Column) -> Column:
+        return F.aggregate(piece, F.struct(start.alias("at"), none.alias("out")), lambda s, x: F.struct(
+            op(s["at"], x).alias("at"), F.concat(s["out"], F.array(op(s["at"], x))).alias("out")))
+
+    def join(folded: Column) -> Column:
+        ends = F.aggregate(folded, F.struct(start.alias("at"), none.alias("out")), lambda s, f: F.struct(
+            op(s["at"], f["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+        return F.flatten(F.zip_with(folded, ends, lambda f, end: F.transform(f["out"], lambda x: op(end, x))))
+
+    def pieces(all_values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_values) - 1) / PIECE).cast("int"))
+        return F.transform(numbers, lambda i: fold(F.slice(all_values, i * PIECE + 1, PIECE)))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, _let(pieces(v), join)).otherwise(none))
+
+
 def _spans(text: Column, matches: Column, pattern: str, kind: int, value) -> Column:
     """(start, kind, stop, value) of the matches of a pattern, in order."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g).cast("bigint"))
-    lengths = F.transform(matches, lambda m: F.char_length(m).cast("bigint"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_FOUND).alias("found"))
-
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.get(gaps, i)
-        stop = start + F.get(lengths, i)
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"),
-                        value(F.get(matches, i)).alias("value"))
-        return F.struct(stop.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
-
-    places = F.sequence(F.lit(0), F.size(matches) - 1)
-    found = F.aggregate(places, zero, step)["found"]
+    def place(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        steps = F.zip_with(gaps, found, lambda g, m: (F.char_length(g) + F.char_length(m)).cast("bigint"))
+        stops = running(steps, lambda a, x: a + x, 0)
+        return F.zip_with(found, stops, lambda m, stop: F.struct(
+            (stop - F.char_length(m)).alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"),
+            value(m).alias("value")))
+
     # most texts have no match and are not split
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(_FOUND))
+    return F.when(F.size(matches) > 0, _let(matches, place)).otherwise(F.array().cast(_FOUND))
+
+
+def _free(base: Column, tokens: Column) -> Column:
+    """The tokens that overlap no base span. Of all spans in order, a token is free if no
+    base span up to it ends behind its start and none after it starts before its end."""
+    far = (1 << 62)
+
+    def judge(every: Column) -> Column:
+        ends = running(F.transform(every, lambda s: F.when(s["kind"] < 3, s["stop"]).otherwise(0)), F.greatest, 0)
+        starts = F.reverse(running(
+            F.transform(F.reverse(every), lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(far)), F.least, far))
+        flagged = F.zip_with(F.zip_with(every, ends, lambda s, end: F.struct(s.alias("s"), (end <= s["start"]).alias("clear"))),
+                             starts, lambda x, start: F.struct(
+                                 x["s"].alias("s"), (x["clear"] & (start >= x["s"]["stop"])).alias("free")))
+        return F.transform(F.filter(flagged, lambda x: x["free"] & (x["s"]["kind"] == 3)), lambda x: x["s"])
+
+    some = (F.size(base) > 0) & (F.size(tokens) > 0)
+    return F.when(some, _let(F.array_sort(F.concat(base, tokens)), judge)).otherwise(tokens)
 
 
 def scan(documents: DataFrame, owner: str = "source", repository: str = "lang") -> DataFrame:
@@ -73,9 +123,7 @@ def scan(documents: DataFrame, owner: str = "source", repository: str = "lang")
         F.array().cast(_FOUND))
     tokens = F.filter(tokens, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     found = matched.select("doc_id", "owner", "repository", F.array_sort(base).alias("base"), tokens.alias("tokens"))
-    free = F.filter("tokens", lambda t: ~F.exists(
-        "base", lambda b: (b["start"] < t["stop"]) & (t["start"] < b["stop"])))
-    return found.withColumn("tokens", free).withColumn("_row", F.monotonically_increasing_id())
+    return found.withColumn("tokens", _free(F.col("base"), F.col("tokens"))).withColumn("_row", F.monotonically_increasing_id())
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -102,9 +150,10 @@ def _count(spans: str, kind: int) -> Column:
 
 
 def find_secrets(documents: DataFrame, owner: str = "source", repository: str = "lang",
-                 max_owners: int = MAX_OWNERS) -> DataFrame:
+                 max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """One row per row of ``documents``: doc_id, n_assign, n_access, n_hex, base_sha256,
-    spans, n_live (spans whose value at most ``max_owners`` owners have) and n_example.
+    spans, n_live (spans whose value looks live: at most ``max_owners`` owners and
+    ``max_repositories`` repositories have it) and n_example.
 
     A null text is empty and has no spans. Repeated rows are scanned each for itself and
     count as one owner and repository. Spans are in code points, the end exclusive.
@@ -113,10 +162,13 @@ def find_secrets(documents: DataFrame, owner: str = "source", repository: str =
     scanned = materialize(scan(documents, owner, repository), "secret-scan")
     every = scanned.where((F.size("base") > 0) | (F.size("tokens") > 0)).select(
         "_row", "owner", "repository", F.explode(F.concat("base", "tokens")).alias("span"))
-    every = every.withColumn("hash", F.sha2(F.col("span.value"), 256))
-    owned = ownership(every.select("hash", "owner", "repository"))
-    judged = every.join(owned.select("hash", "owners"), "hash").select(
-        "_row", "span", (F.col("owners") <= max_owners).alias("live"))
+    every = materialize(every.withColumn("hash", F.sha2(F.col("span.value"), 256)), "secret-spans")
+    owned = ownership(every.select("hash", "owner", "repository")).select(
+        F.col("hash").alias("_hash"),
+        ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).alias("live"))
+    # a value with a large share of all spans is spread over several tasks
+    heavy = heavy_keys(every, "hash", HEAVY, HEAVY)
+    judged = salted_lookup(with_position(every), owned, "hash", "_hash", heavy).select("_row", "span", "live")
     judged = judged.where(F.col("live") | (F.col("span.kind") < 3))
     plain = F.struct(F.col("span.start").alias("start"), F.col("span.kind").alias("kind"),
                      F.col("span.stop").alias("stop"))

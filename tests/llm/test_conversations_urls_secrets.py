@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -215,3 +216,24 @@ def test_secrets_empty(spark):
     none = spark.createDataFrame([], "doc_id BIGINT, text STRING, source STRING, lang STRING")
     assert secret_ownership.find_secrets(none).count() == 0
     assert secret_ownership.ownership(spark.createDataFrame([], "hash STRING, owner STRING, repository STRING")).count() == 0
+
+
+def test_secrets_of_many_repositories_are_examples(spark):
+    token = "Zq9fLk2mXw8rT4vB7nY1cD"
+    for repositories, live in ((["a", "b"], 1), (["a", "b", "c"], 0)):
+        docs = spark.createDataFrame([(i, f"x {token}", "one", r) for i, r in enumerate(repositories)],
+                                     "doc_id BIGINT, text STRING, source STRING, lang STRING")
+        assert {r.n_live for r in secret_ownership.find_secrets(docs).collect()} == {live}
+
+
+def test_secrets_in_a_long_text(spark):
+    """A megabyte of matches: the time must not grow with their square."""
+    word = lambda i: hashlib.md5(str(i).encode()).hexdigest() if i % 2 else f"Tok{i}ABCDEFGHIJKLMNOPQRSTU"
+    text = " ".join(word(i) + ("=" if i % 5 == 0 else "") for i in range(30_000))
+    docs = spark.createDataFrame([(1, text, "one", "a")], "doc_id BIGINT, text STRING, source STRING, lang STRING")
+    start = time.monotonic()
+    row = secret_ownership.find_secrets(docs).first()
+    assert time.monotonic() - start < 60
+    base, tokens = spans_in_python(text)
+    kinds = ["assign", "access", "hex", "owned"]
+    assert row.spans == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b, _ in sorted(base + tokens)) and row.n_hex == 15_000
