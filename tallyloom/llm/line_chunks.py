@@ -7,15 +7,17 @@ its own. Chunks of several lines, and those long lines, that occur more than onc
 the corpus are removed everywhere but at their first place, after their bytes have
 been compared.
 
-Bytes are compared by grouping on the bytes themselves, combined in each task first:
-a passage with a third of all rows sends one row per task. Chunks that are alone keep
-to their own task's row. Afterwards only digests travel; a digest that stands for
-several texts is set aside and never removes anything.
+Digests are counted first, and those with two places or more are marked in a sieve of
+fixed size. A second pass sends the bytes of the chunks that pass it: they are compared by
+grouping on the bytes themselves, combined in each task first, so a passage with a third
+of all rows sends one row per task. A chunk that is alone sends its bytes only where the
+sieve mistakes it. A digest that stands for several texts never removes anything.
 
 Chunks miss passages whose ends lie inside them. So every line also begins, and ends,
 a window: the fewest lines with more than ``LONG_LINE`` words. A repeated run of lines
 with more words than that is the union of its windows, whatever stands around it.
-Windows are grouped by hashes; the bytes of those that meet are then compared.
+Windows are grouped by two hashes over the hashes of their lines, and every line of those
+that meet is compared by its bytes, once per block: windows overlap, their lines do not.
 """
 
 from __future__ import annotations
@@ -30,12 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import blocks
+from tallyloom.llm.sieve import Sieve, marked, passing
+from tallyloom.operators.lookup import salted_lookup, with_position
 from tallyloom.runtime import materialize
 
 #: One line in so many begins a chunk.
 EVERY = 2
 MIN_LINES = 2
 LONG_LINE = 50
+#: A chunk or window with a larger share of all repeated places is spread over tasks.
+HEAVY = 0.001
 
 _ROLL = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -106,11 +112,23 @@ def _row():
     return F.xxhash64("doc_id", "text").alias("_row")
 
 
+def _place_id(*columns: str):
+    return F.xxhash64(*columns)
+
+
+def _repeated(rows: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """The keys that stand at two different places or more: two numbers per key travel."""
+    at = _place_id(*place)
+    counted = rows.groupBy(*keys).agg(F.min(at).alias("_least"), F.max(at).alias("_most"))
+    return counted.where(F.col("_least") != F.col("_most")).select(*keys)
+
+
 def repeated_chunks(documents: DataFrame) -> DataFrame:
     """(digest, first place, n) of the chunks whose bytes occur at two places or more."""
     place = F.struct("doc_id", "_row", "place")
+    known = marked(_repeated(chunk_rows(documents, False), ["digest"], ["doc_id", "_row", "place"]), F.xxhash64("digest"))
     # equal bytes meet here and nowhere else: this grouping is the comparison
-    same = chunk_rows(documents, True).groupBy("digest", "chunk").agg(
+    same = passing(chunk_rows(documents, True), known, F.xxhash64("digest")).groupBy("digest", "chunk").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
     same = same.where(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first", "n")
     return same.groupBy("digest").agg(
@@ -118,11 +136,23 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     ).where(F.col("_texts") == 1).drop("_texts")
 
 
+def _heavy(repeated: DataFrame, key: str) -> dict:
+    """Keys with more than ``HEAVY`` of all repeated places, and parts to divide them into."""
+    total = repeated.agg(F.sum("n")).first()[0] or 0
+    found = repeated.where(F.col("n") > total * HEAVY).select(key, "n").collect()  # 1 / HEAVY rows at most
+    return {row[0]: int(row["n"] / (total * HEAVY)) + 1 for row in found}
+
+
 def removals(documents: DataFrame) -> DataFrame:
     """(_row, doc_id, places): first lines of the chunks to remove, per document."""
-    repeated = repeated_chunks(documents).select("digest", "first")
+    repeated = materialize(repeated_chunks(documents).withColumn("digest", F.hex("digest")), "line-chunks")
+    known = marked(repeated, F.xxhash64("digest"))
+    places = chunk_rows(documents, False).withColumn("digest", F.hex("digest"))
+    found = with_position(passing(places, known, F.xxhash64("digest")))
+    found = salted_lookup(found, repeated.select(F.col("digest").alias("_digest"), "first"), "digest", "_digest",
+                          _heavy(repeated, "digest"))
     at = F.struct("doc_id", "_row", "place")
-    found = chunk_rows(documents, False).join(repeated, "digest").where(~at.eqNullSafe(F.col("first")))
+    found = found.where(F.col("first").isNotNull() & ~at.eqNullSafe(F.col("first")))
     # at most one entry per chunk of the document
     return found.groupBy("_row", "doc_id").agg(F.collect_set("place").alias("_places"))
 
@@ -133,7 +163,7 @@ def line_windows(texts: list[bytes | None], words: int = LONG_LINE) -> tuple[np.
     """(text, first line, last line, hash, check) of the windows of several texts: from
     each line on, and up to each line, the fewest lines with more than ``words`` words.
     Lines without words count nothing and are skipped."""
-    owner, places, sizes, hashes = [], [], [], []
+    owner, places, sizes, digests = [], [], [], []
     for i, text in enumerate(texts):
         for at, line in enumerate((text or b"").split(b"\n")):
             n = len(line.split())
@@ -141,9 +171,9 @@ def line_windows(texts: list[bytes | None], words: int = LONG_LINE) -> tuple[np.
                 owner.append(i)
                 places.append(at)
                 sizes.append(n)
-                hashes.append(xxhash.xxh3_64_intdigest(line))
+                digests.append(xxhash.xxh3_128_digest(line))
     owner, places, sizes = (np.array(x, np.int64) for x in (owner, places, sizes))
-    hashes, n = np.array(hashes, np.uint64), len(owner)
+    hashes, n = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2), len(owner)
     if not n:
         return owner, owner, owner, owner, owner
     until = np.cumsum(sizes)
@@ -157,70 +187,87 @@ def line_windows(texts: list[bytes | None], words: int = LONG_LINE) -> tuple[np.
     first, last = np.divmod(np.unique(pairs[0] * n + pairs[1]), n)
     up, down = blocks._power(n + 1)
     found = []
-    for value in (hashes, blocks.mix(hashes ^ np.uint64(_ROLL))):
+    for value in (hashes[:, 0], blocks.mix(hashes[:, 1] ^ np.uint64(_ROLL))):
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value * up[:-1], dtype=np.uint64)))
         found.append(blocks.mix((total[last + 1] - total[first]) * down[first]).view(np.int64))
     return owner[first], places[first], places[last], *found
 
 
-def window_rows(documents: DataFrame) -> DataFrame:
-    """(_row, doc_id, place, stop, hash, check) of every window."""
-    names = ["_row", "doc_id", "place", "stop", "hash", "check"]
+_WINDOW = ["_row", "doc_id", "place", "stop", "hash", "check"]
+
+
+def window_rows(documents: DataFrame, known: Sieve | None = None, bad: Sieve | None = None) -> DataFrame:
+    """(_row, doc_id, place, stop, hash, check, line) of the windows, all of them or those
+    that pass the sieve of ``known`` hashes. With a sieve there are also rows without place,
+    one for each line of these windows in a block: its bytes as ``line`` and the two halves
+    of its hash. Windows with a line in ``bad`` are left out."""
+    kept, left_out = (None if s is None else s.shared(documents.sparkSession) for s in (known, bad))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks.blocks(batches):
-            owner, place, stop, hashes, check = line_windows(blocks.raw(block))
-            take = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [block.column("_row").take(take), block.column("doc_id").take(take), pa.array(place.astype(np.int32)),
-                 pa.array(stop.astype(np.int32)), pa.array(hashes), pa.array(check)], names)
+            texts = blocks.raw(block)
+            owner, place, stop, hashes, check = line_windows(texts)
+            lines: dict[bytes, tuple[int, int]] = {}
+            if kept is not None:
+                hit = np.flatnonzero(kept.value.holds(hashes))
+                windows = []
+                for k, i, a, b in zip(hit.tolist(), owner[hit].tolist(), place[hit].tolist(), stop[hit].tolist()):
+                    rows = texts[i].split(b"\n") if not windows or windows[-1][0] != i else rows  # noqa: F821
+                    inside = [line for line in rows[a:b + 1] if line.strip(blocks.WHITE)]
+                    for line in inside:
+                        if line not in lines:
+                            lines[line] = tuple(np.frombuffer(xxhash.xxh3_128_digest(line), np.int64).tolist())
+                    sure = left_out is None or not left_out.value.holds(np.array([lines[x][0] for x in inside])).any()
+                    windows.append((i, k, sure))
+                hit = np.array([k for _, k, sure in windows if sure], np.int64)
+                owner, place, stop, hashes, check = (x[hit] for x in (owner, place, stop, hashes, check))
+            take, n, m = pa.array(owner), len(owner), len(lines)
+            pairs = np.array(list(lines.values()), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([block.column("_row").take(take), pa.nulls(m, pa.int64())]),
+                pa.concat_arrays([block.column("doc_id").take(take), pa.nulls(m, block.column("doc_id").type)]),
+                pa.concat_arrays([pa.array(place.astype(np.int32)), pa.nulls(m, pa.int32())]),
+                pa.concat_arrays([pa.array(stop.astype(np.int32)), pa.nulls(m, pa.int32())]),
+                pa.array(np.concatenate((hashes, pairs[:, 0]))), pa.array(np.concatenate((check, pairs[:, 1]))),
+                pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(list(lines), pa.binary())]),
+            ], [*_WINDOW, "line"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select(_row(), "doc_id", "text").mapInArrow(
-        cut, f"_row BIGINT, doc_id {kind}, place INT, stop INT, hash BIGINT, check BIGINT")
-
+        cut, f"_row BIGINT, doc_id {kind}, place INT, stop INT, hash BIGINT, check BIGINT, line BINARY")
 
-def _worded(lines: list[bytes], start: int, stop: int) -> list[int]:
-    return [i for i in range(start, stop + 1) if lines[i].strip(blocks.WHITE)]
 
+def _mistaken_lines(found: DataFrame) -> DataFrame:
+    """Hashes that stand for several lines."""
+    # equal bytes meet here: this grouping is the comparison
+    same = found.where(F.col("line").isNotNull()).groupBy("hash", "check", "line").agg(F.lit(1).alias("_one"))
+    return same.groupBy("hash", "check").agg(F.count(F.lit(1)).alias("_texts")).where(F.col("_texts") > 1)
 
-def _one_text(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """(hash, check) of the found windows all of whose places have the same bytes."""
-    spans = found.groupBy("_row", "doc_id").agg(  # the windows of one document
-        F.collect_set(F.struct("place", "stop", "hash", "check")).alias("_spans")).withColumnsRenamed(
-        {"_row": "_gone_row", "doc_id": "_gone_id"})
-    own = (F.col("_row") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
-    texts = documents.select(_row(), "doc_id", "text").join(spans, own).select("text", "_spans")
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks.blocks(batches):
-            rows = set()
-            for text, spans in zip(blocks.raw(block), block.column("_spans").to_pylist()):
-                lines = text.split(b"\n")
-                for x in spans:
-                    window = b"\n".join([lines[i] for i in _worded(lines, x["place"], x["stop"])])
-                    rows.add((x["hash"], x["check"], window))
-            hashes, check, windows = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.int64()), pa.array(check, pa.int64()), pa.array(windows, pa.binary())],
-                ["hash", "check", "window"])
 
-    # equal bytes meet here: this grouping is the comparison
-    same = texts.mapInArrow(read, "hash BIGINT, check BIGINT, window BINARY").groupBy("hash", "check", "window").agg(
-        F.lit(1).alias("_one"))
-    return same.groupBy("hash", "check").agg(F.count(F.lit(1)).alias("_texts")).where(F.col("_texts") == 1).drop("_texts")
+def repeated_windows(documents: DataFrame) -> DataFrame:
+    """Stored places of the windows that may occur at two places or more, none of which
+    has a line whose hash stands for other bytes too."""
+    place = ["doc_id", "_row", "place", "stop"]
+    known = Sieve.of(_repeated(window_rows(documents), ["hash", "check"], place), F.col("hash"))
+    found = materialize(window_rows(documents, known), "line-windows")
+    mistaken = _mistaken_lines(found)
+    if not mistaken.isEmpty():  # then all windows with a line of that mark are set aside
+        found = materialize(window_rows(documents, known, Sieve.of(mistaken, F.col("hash"))), "line-windows")
+    return found.where(F.col("line").isNull()).drop("line")
 
 
 def window_removals(documents: DataFrame) -> DataFrame:
     """(_row, doc_id, spans): first and last lines to remove of each document, since they
     stand earlier in a repeated window. A window that overlaps its own first place gives
     up only what lies behind that."""
-    rows = window_rows(documents)
+    rows = repeated_windows(documents).withColumn("key", F.concat_ws(":", "hash", "check"))
     place = F.struct("doc_id", "_row", "place", "stop")
-    repeated = rows.groupBy("hash", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select("hash", "check", "first")
-    found = materialize(rows.join(repeated, ["hash", "check"]), "line-windows")
-    sure = found.join(_one_text(documents, found), ["hash", "check"])
+    repeated = rows.groupBy("key").agg(
+        F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
+    repeated = materialize(repeated.where(~F.col("first").eqNullSafe(F.col("last"))).select(
+        F.col("key").alias("_gone_key"), "first", "n"), "line-window-firsts")
+    sure = salted_lookup(with_position(rows), repeated.drop("n"), "key", "_gone_key", _heavy(repeated, "_gone_key"))
+    sure = sure.where(F.col("first").isNotNull())
     here = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first._row") == F.col("_row"))
     start = F.when(here, F.greatest("place", F.col("first.stop") + 1)).otherwise(F.col("place"))
     gone = sure.select("_row", "doc_id", start.alias("place"), "stop").where(F.col("place") <= F.col("stop"))

@@ -451,3 +451,35 @@ def test_features_are_finite_and_per_text():
     table = pu_quality.features(texts)
     assert np.isfinite(table).all() and not table[:2].any()
     assert np.allclose(pu_quality.features(texts[3:4])[0], table[3])
+
+
+def test_a_line_hash_of_two_texts_sets_windows_aside(spark, monkeypatch):
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame(
+        [(1, f"a {words}\nb {words}"), (2, f"x\n\na {words}\nb {words}\ny"), (3, f"c {words}\nd {words}\nz"),
+         (4, f"q\nc {words}\nd {words}")], "doc_id BIGINT, text STRING")
+    spans = lambda: {r.doc_id: sorted(map(tuple, r._spans)) for r in line_chunks.window_removals(docs).collect()}
+    assert spans() == {2: [(2, 3)], 4: [(1, 2)]}
+    real = line_chunks._mistaken_lines
+    first = f"a {words}".encode()
+
+    def mistaken(found):
+        return found.where(F.col("line") == F.lit(first)).select("hash", "check").unionByName(real(found).select("hash", "check"))
+
+    monkeypatch.setattr(line_chunks, "_mistaken_lines", mistaken)
+    assert spans() == {4: [(1, 2)]}
+
+
+def test_sieve(spark):
+    from tallyloom.llm import sieve
+
+    keys = spark.range(500).select(F.xxhash64("id").alias("h"))
+    others = spark.range(500, 20_000).select(F.xxhash64("id").alias("h"))
+    words = sieve.marked(keys, F.col("h"))
+    assert sieve.passing(keys, words, F.col("h")).count() == 500
+    assert sieve.passing(others, words, F.col("h")).count() < 20
+    held = sieve.Sieve.of(keys, F.col("h"))
+    assert held.holds(np.array([r.h for r in keys.collect()])).all()
+    assert held.holds(np.array([r.h for r in others.collect()])).sum() == sieve.passing(others, words, F.col("h")).count()
+    nothing = sieve.marked(keys.limit(0), F.col("h"))
+    assert sieve.passing(others, nothing, F.col("h")).count() == 0
