@@ -237,3 +237,22 @@ def test_secrets_in_a_long_text(spark):
     base, tokens = spans_in_python(text)
     kinds = ["assign", "access", "hex", "owned"]
     assert row.spans == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b, _ in sorted(base + tokens)) and row.n_hex == 15_000
+
+
+def test_urls_of_many_tokens_end(spark):
+    """One url of 40 segments, near copies of it that each lack one, and ordinary urls."""
+    long = [f"s{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)]
+    urls = ["http://a.net/" + "/".join(long)] * 3 + ["http://b.net/" + "/".join(long[:i] + long[i + 1:]) for i in range(40)]
+    urls += [f"http://c{i}.example.net/en/{i}" for i in range(30)] + ["http://z.com/" + "/".join(long), "http://z.com/sac"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id BIGINT, url STRING")
+    start = time.monotonic()
+    got = {r.page_id: r for r in url_rules.judge(pages, URL_RULES).collect()}
+    assert time.monotonic() - start < 90
+    assert [got[len(urls) - k].verdict for k in (1, 2)] == ["block", "block"] and got[len(urls) - 1].mined_rule == "path:sac"
+
+
+def test_tokens_of_the_same_urls_are_one_item(spark):
+    rows = [(0, ["a", "b", "c"], "block"), (1, ["a", "b"], "block"), (2, ["c", "d"], "allow"), (3, ["e", "a"], None)]
+    labelled = spark.createDataFrame(rows, "_row BIGINT, tokens ARRAY<STRING>, label STRING")
+    assert {r.token: (r.item, r.n) for r in url_rules.merged_tokens(labelled).collect()} == {
+        "a": ("a", 2), "b": ("a", 2), "c": ("c", 2), "d": ("d", 1)}
