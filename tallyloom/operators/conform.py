@@ -130,6 +130,17 @@ def conform_products(raw: DataFrame, spec: SourceSpec, catalog: DataFrame) -> Da
     )
 
 
+def conform_unreadable(lines: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Lines (source_table, line, first_field) that could not be read, for the quarantine."""
+    return lines.select(
+        F.lit(spec.code).alias("source_system"), "source_table", F.col("line").alias("source_row"),
+        F.lit("unreadable_line").alias("reason_code"),
+        F.concat(F.lit(f"line cannot be read for {spec.code} "), "source_table", F.lit(": '"),
+                 F.coalesce("first_field", F.lit("")), F.lit("'")).alias("reason"),
+        F.lit(True).alias("rejected"),
+    )
+
+
 def resolve_sk(df: DataFrame, dim: DataFrame, system: str, column: str, natural: str,
                surrogate: str, heavy: dict | None = None) -> DataFrame:
     """Add the surrogate key of a natural key, null where the dimension lacks it.

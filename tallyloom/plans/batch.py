@@ -29,12 +29,14 @@ STALE_HOURS = 24  # a run still open after that is taken for dead
 
 @dataclass(frozen=True)
 class Feed:
-    """One source to load: its layout, how it is extracted, where it is read."""
+    """One source to load: its layout, how it is extracted, where it is read, and which
+    lines of its files cannot be read, as ``unreadable_lines``, if it is read from text."""
 
     spec: SourceSpec
     extract: Extract
     extract_orders: ExtractOrders
     reader: Reader
+    unreadable: Callable[[], DataFrame] | None = None
 
 
 def feed_a(code: str, reader: Reader) -> Feed:
@@ -187,6 +189,9 @@ def run_batch(warehouse: Warehouse, feeds: list[Feed], city_maps: dict[str, Data
 
     try:
         extracts = [f.extract(f.reader, starts[f.spec.code]) for f in feeds]
+        torn = [conform.conform_unreadable(f.unreadable(), f.spec) for f in feeds if f.unreadable]
+        if torn:
+            stage(conform.union_all(torn), "unreadable")
         customers, products = conform_entities(feeds, extracts, city_maps, catalogs)
         customers, products = stage(customers, "customers"), stage(products, "products")
         tables = warehouse.tables()

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from tallyloom.runtime import literal_rows, materialize, scratch_dir
 from tallyloom.schemas import CUSTOMER_ATTRIBUTES, CUSTOMER_KEY, PRODUCT_ATTRIBUTES, PRODUCT_KEY
 from tallyloom.sources import results
 from tallyloom.sources.mappings import judge_catalog, read_catalog, read_catalog_rows, read_city_map
-from tallyloom.sources.operational import read_source_a, read_source_b
+from tallyloom.sources.operational import read_source_a, read_source_b, tolerant_csv_reader, unreadable_lines
 from tallyloom.streaming.incremental import Landing, stream_orders, stream_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -542,6 +543,30 @@ def _(m):
     return m.warehouse.errors().select("batch_id", "source_system", "source_table", "reason_code", "reason")
 
 
+@mart_query("C10_unreadable_lines")
+def _(m):
+    """A load of source A from text files, where some lines of the orders are torn."""
+    root = f"{scratch_dir(m.spark)}/text-{uuid.uuid4().hex}"
+    layout = {n: schemas.LAYOUT_A[n] for n in ("orders",)}
+    for name, schema in layout.items():
+        fields = [F.col(c).cast("string") for c in schema.names]
+        torn = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint") % 97 == 5
+        line = F.when(torn, F.concat_ws(",", *fields[:2])).otherwise(F.concat_ws(",", *fields))
+        lines = m.feeds[0].reader(name).select(line.alias("value"))
+        # every file begins with the names of the columns
+        lines.coalesce(1).write.text(f"{root}/lines-{name}")
+        head = literal_rows(m.spark, [(",".join(schema.names),)], lines.schema)
+        head.unionByName(m.spark.read.text(f"{root}/lines-{name}")).coalesce(1).write.text(f"{root}/{name}")
+    stored, text = m.feeds[0].reader, tolerant_csv_reader(m.spark, root, layout)
+    feed = replace(m.feeds[0], reader=lambda t: text(t) if t in layout else stored(t),
+                   unreadable=lambda: unreadable_lines(m.spark, root, layout, list(layout)))
+    fresh = m.new_warehouse(f"text-{uuid.uuid4().hex}")
+    run_batch(fresh, [feed], m.city_maps, m.catalogs, "full", batch_id="text")
+    found = fresh.errors().where("reason_code = 'unreadable_line'").select("source_table", "source_row", "reason")
+    loaded = fresh.tables()["fact_sales"].agg(F.count(F.lit(1)).cast("string").alias("source_row"))
+    return found.unionByName(loaded.select(F.lit("fact_sales").alias("source_table"), "source_row", F.lit("rows loaded").alias("reason")))
+
+
 @mart_query("C11_batch_counts")
 def _(m):
     judged = [conformed_customers(m), conformed_products(m), conformed_sales(m)]

@@ -519,6 +519,10 @@ def oracle_sql() -> dict[str, str]:
                                          ("dim_product", "products_reasoned", "source_system, source_product_id"))],
         ])),
         "C10_quarantine": _sql("", "SELECT 'first' AS batch_id, source_system, source_table, reason_code, reason FROM errors"),
+        "C10_unreadable_lines": _sql("", """SELECT 'orders' AS source_table, order_id || ',' || customer_id AS source_row, 'line cannot be read for OPA orders: ''' || order_id || '''' AS reason
+            FROM a_orders WHERE CAST(split_part(order_id, '-', 1) AS BIGINT) % 97 = 5
+            UNION ALL SELECT 'fact_sales', CAST(COUNT(DISTINCT source_order_id) AS VARCHAR), 'rows loaded' FROM sales_judged
+            WHERE company_sk = 1 AND NOT rejected AND CAST(split_part(source_order_id, '-', 1) AS BIGINT) % 97 <> 5"""),
         "C11_batch_counts": _sql("", """SELECT (SELECT COUNT(*) FROM customer) + 2 * (SELECT COUNT(*) FROM part) + (SELECT COUNT(*) FROM sales_keyed) AS rows_extracted,
               (SELECT COUNT(*) FROM fact_sales) AS rows_loaded, (SELECT COUNT(*) FROM errors) AS rows_quarantined"""),
         "C12_two_batches": _sql("", """SELECT 'since' AS mode, (SELECT COUNT(*) FROM fact_sales WHERE date_sk >= 19990101) AS rows_loaded, 'succeeded' AS status

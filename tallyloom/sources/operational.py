@@ -7,7 +7,8 @@ runs over parquet, CSV, JDBC or frames already at hand.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,38 @@ def csv_reader(spark: SparkSession, root: str, schemas: Mapping[str, T.StructTyp
     return lambda table: spark.read.csv(f"{root}/{table}", schema=schemas[table], header=True)
 
 
+UNREADABLE = "_unreadable"
+
+
+def _csv_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of a CSV table, and of a line that is none the line itself. Every line is read
+    with all its columns, so the same lines are unreadable whatever a query needs."""
+    marked = T.StructType([*schema, T.StructField(UNREADABLE, T.StringType())])
+    reader = spark.read.schema(marked).option("columnPruning", False)
+    return reader.csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=UNREADABLE)
+
+
+def tolerant_csv_reader(spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]) -> Reader:
+    """``csv_reader`` of the lines that can be read: ``unreadable_lines`` has the others."""
+    def read(table: str) -> DataFrame:
+        lines = _csv_lines(spark, f"{root}/{table}", schemas[table])
+        return lines.where(F.col(UNREADABLE).isNull()).select(*schemas[table].names)
+
+    return read
+
+
+def unreadable_lines(spark: SparkSession, root: str, schemas: Mapping[str, T.StructType],
+                     tables: Sequence[str]) -> DataFrame:
+    """(source_table, line, first_field) of the lines with other fields than the table has,
+    or fields of other types: torn, shifted or foreign ones."""
+    parts = [
+        _csv_lines(spark, f"{root}/{table}", schemas[table]).where(F.col(UNREADABLE).isNotNull())
+        .select(F.lit(table).alias("source_table"), F.col(UNREADABLE).alias("line"),
+                F.col(schemas[table].names[0]).cast("string").alias("first_field")) for table in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def frame_reader(frames: Mapping[str, DataFrame]) -> Reader:
     return lambda table: frames[table]
 

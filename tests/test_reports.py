@@ -9,6 +9,7 @@ from tallyloom.functions.calendar import dim_date
 from tallyloom.operators import checks
 from tallyloom.operators.dims import dim_company
 from tallyloom.plans import reports
+from tallyloom.runtime import materialize
 from tallyloom.specs import source_a
 
 CODES = ["AA", "BB"]
@@ -163,3 +164,17 @@ def test_profile_of_a_source(spark):
         "table_naming": "customers,products,orders", "key_type": "int", "city_column": "cities.city_ar:string",
         "price_type": "int", "total_column": "int", "date_shape": "missing", "phone_format": 0.5,
         "category_case": 0.5, "arabic_names": 0.5, "ascii_names": 0.5}
+
+
+def test_sketches_of_customers_are_merged_for_any_range(spark):
+    fact = spark.range(60_000).select(
+        (20240101 + F.col("id") % 20).cast("int").alias("date_sk"), (F.col("id") % 2).cast("int").alias("company_sk"),
+        (F.xxhash64("id") % 9000).alias("customer_sk"))
+    sketches = materialize(reports.customer_sketches(fact), "sketches")
+    assert sketches.count() == 20  # even days have one company, odd ones the other
+    for first, last in ((None, None), (20240103, 20240109), (20240120, 20240120)):
+        chosen = fact.where(F.col("date_sk").between(first or 0, last or 99999999))
+        exact = {r[0]: r[1] for r in chosen.groupBy("company_sk").agg(F.countDistinct("customer_sk")).collect()}
+        got = {r[0]: r[1] for r in reports.approximate_customers(sketches, first, last).collect()}
+        assert got.keys() == exact.keys()
+        assert all(abs(got[c] - n) <= 0.04 * n for c, n in exact.items())  # five standard deviations
