@@ -111,7 +111,8 @@ def prefix_tree(conversations: DataFrame, subwords: Subwords) -> tuple[DataFrame
     own. Conversations with the same turns share all nodes. Rows without conv_id form one
     conversation. Other columns are not looked at.
     """
-    formatted = format_conversations(conversations, subwords)
+    # stored first: Spark draws the limits of ranges from a pass of its own over what it ranges
+    formatted = materialize(format_conversations(conversations, subwords), "chat-turns")
     ranked = formatted.repartitionByRange("path", F.col("conv_id")).sortWithinPartitions("path", "conv_id")
     ranked = materialize(ranked.withColumn("rank", F.monotonically_increasing_id()), "chat-formatted")
     turns = ranked.select("conv_id", "rank", F.posexplode("turns").alias("depth", "turn"))
