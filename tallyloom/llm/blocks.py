@@ -41,6 +41,8 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task
 
 
 def raw(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
