@@ -68,6 +68,7 @@ def features(texts: list[bytes | None]) -> np.ndarray:
     first_upper = kind[start] == 2 if len(start) else np.zeros(0, bool)
     exclaimed = (data[end - 1] == ord("!")) & (size > 2) & (data[end - 2] == ord("!")) if len(end) else first_upper
     again = np.concatenate(([False], words[1:] == words[:-1]))[:len(words)]
+    again[bounds[:-1][n > 0]] = False  # the word before is another text's
     owner = np.repeat(np.arange(len(texts)), n)
     order = np.lexsort((words, owner))
     new = np.concatenate(([True], (words[order][1:] != words[order][:-1]) | (owner[order][1:] != owner[order][:-1])))
@@ -209,9 +210,10 @@ def fit(documents: DataFrame, positives: DataFrame, sample: int = SAMPLE) -> Net
 
     chosen = smallest(positives).withColumn("kind", F.lit(1)).unionByName(
         smallest(documents).withColumn("kind", F.lit(0)))
-    # at most 2 * sample ids; a repeated row counts once for each of its copies
+    # at most 2 * sample ids; of an id's rows the one with the least features counts
     found = _numbers(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    rows = found.select("doc_id", "kind", "features").toPandas().sort_values(["kind", "doc_id"])
+    found = found.groupBy("doc_id", "kind").agg(F.min("features").alias("features"))
+    rows = found.toPandas().sort_values(["kind", "doc_id"])
     table = np.array(rows["features"].tolist(), np.float64).reshape(-1, len(FEATURES))
     kind = rows["kind"].to_numpy()
     return fit_network(table[kind == 1], table[kind == 0])

@@ -483,3 +483,21 @@ def test_sieve(spark):
     assert held.holds(np.array([r.h for r in others.collect()])).sum() == sieve.passing(others, words, F.col("h")).count()
     nothing = sieve.marked(keys.limit(0), F.col("h"))
     assert sieve.passing(others, nothing, F.col("h")).count() == 0
+
+
+def test_quality_classifier_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pu_quality, "fit_network", lambda p, u: seen.append((p, u)))
+    texts = ["one two three four", "five!!! six 7 8 9", "ten"]
+    docs = spark.createDataFrame([(1, t) for t in texts * 50] + [(2, texts[0]), (None, "x")], "doc_id BIGINT, text STRING")
+    pu_quality.fit(docs, docs.where("doc_id = 1").select("doc_id"))
+    positives, unlabelled = seen[0]
+    features = pu_quality.features([t.encode() for t in texts]).tolist()
+    assert positives.tolist() == [min(features)]
+    assert sorted(unlabelled.tolist()) == sorted([min(features), features[0]])
+
+
+def test_features_do_not_depend_on_other_texts():
+    texts = [b"ten", b"ten", b"ten ten", b"ten", b"", None, b"ten\nten ten!!!", b"ten!!!"]
+    together = pu_quality.features(texts)
+    assert together.tolist() == [pu_quality.features([t])[0].tolist() for t in texts]
