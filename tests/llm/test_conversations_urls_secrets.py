@@ -256,3 +256,12 @@ def test_tokens_of_the_same_urls_are_one_item(spark):
     labelled = spark.createDataFrame(rows, "_row BIGINT, tokens ARRAY<STRING>, label STRING")
     assert {r.token: (r.item, r.n) for r in url_rules.merged_tokens(labelled).collect()} == {
         "a": ("a", 2), "b": ("a", 2), "c": ("c", 2), "d": ("d", 1)}
+
+
+def test_common_items_of_long_urls_combine(spark):
+    """Two common items decide together; every url has 14 rarer ones, each of which decides alone."""
+    shape = lambda n: (["x", "y"], "block") if n % 3 == 0 else (["x"] if n % 3 == 1 else ["y"], "allow")
+    urls = [([f"r{n}-{i}" for i in range(14)] + common, label) for n in range(30) for common, label in [shape(n)]]
+    labelled = spark.createDataFrame(urls, "items ARRAY<STRING>, label STRING")
+    found = {tuple(r.antecedent): (r.verdict, r.confidence, round(r.support, 6)) for r in url_rules.mine(labelled, 0.2, 0.8).collect()}
+    assert found == {("x", "y"): ("block", 1.0, round(10 / 30, 6))}
