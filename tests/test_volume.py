@@ -1,17 +1,20 @@
-"""What a load moves and stores: one shuffle of new facts, buckets by size."""
+"""What a load moves and stores: one shuffle of new facts, buckets by size, text files of many tasks."""
 
 import glob
+import os
 
 import pytest
 from conftest import CALENDAR, COMPANIES, feeds, source_frames
+from pyspark.sql import functions as F
 from test_storage import add_facts, fact_rows, finish
 
 from tallyloom import schemas
 from tallyloom.operators import facts
-from tallyloom.plans import testmart
+from tallyloom.plans import catalog, testmart
 from tallyloom.plans.batch import conform_orders
 from tallyloom.plans.warehouse import Warehouse
 from tallyloom.runtime import scratch_dir, shuffle_partitions
+from tallyloom.sources.operational import tolerant_csv_reader, unreadable_lines
 
 
 @pytest.fixture
@@ -60,3 +63,14 @@ def test_stored_orders_are_not_copied(spark, warehouse):
     assert copies() == before
     assert sorted(map(str, conform_orders([feed], [raw], tables).drop("source_row").collect())) == sorted(map(str, stored))
     assert copies() == before + 1
+
+
+def test_lines_of_many_tasks(spark, tmp_path):
+    """Every task writes a file of its own that begins with the names of the columns."""
+    layout = {"t": schemas.T.StructType([schemas.T.StructField("a", schemas.LONG), schemas.T.StructField("b", schemas.TEXT)])}
+    line = F.when(F.col("id") % 10 == 3, F.lit("torn")).otherwise(F.concat_ws(",", "id", F.lit("x")))
+    catalog.write_lines(spark.range(0, 100, numPartitions=5).select(line.alias("value")), "a,b", str(tmp_path / "t"))
+    files = glob.glob(str(tmp_path / "t" / "part-*"))
+    assert len(files) == 5 and all(open(f).readline() == "a,b\n" for f in files) and all(os.path.getsize(f) for f in files)
+    assert len(tolerant_csv_reader(spark, str(tmp_path), layout)("t").collect()) == 90
+    assert len(unreadable_lines(spark, str(tmp_path), layout, ["t"]).collect()) == 10
