@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -381,6 +382,16 @@ def test_packing_round_trip(documents, texts):
         assert end <= 1024
 
 
+def test_subwords_keep_nothing_of_what_they_encode():
+    subwords = byte_subwords()
+    subwords.id_bytes(b"loaded once")
+    tracemalloc.start()
+    subwords.id_bytes(" ".join(f"word{i}x{i}" for i in range(30_000)).encode())
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 200_000
+
+
 def test_packing_empty(nothing):
     assert bin_slack.pack(nothing, byte_subwords()).count() == 0
 
