@@ -268,7 +268,8 @@ class Words:
         found = [self._ids(t).tobytes() if words is None else b"".join(map(known.__getitem__, words))
                  for t, words in zip(texts, cut)]
         room = REMEMBERED - len(known) + len(fresh)
-        for word in [w for i, w in enumerate(fresh) if i >= room or len(w) >= 64]:
+        short = [w for w in fresh if len(w) < 64]
+        for word in fresh.keys() - set(short[:max(room, 0)]):
             del known[word]
         return found
 

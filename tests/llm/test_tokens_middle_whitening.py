@@ -80,6 +80,13 @@ def test_remembered_words_are_bounded(monkeypatch):
         assert len(words.known) == 3
 
 
+def test_long_words_take_no_room_of_remembered_words(monkeypatch):
+    monkeypatch.setattr(patched_blocks, "REMEMBERED", 3)
+    words = patched_blocks.Words(TOKENIZER)
+    words.id_bytes([" ".join(["x" * n for n in range(100, 200)] + ["one", "two", "three", "four"])])
+    assert len(words.known) == 3 and set(words.known) <= {"one", "two", "three", "four"}
+
+
 def test_vocabulary_that_keeps_white_space_is_used_whole():
     words = patched_blocks.Words(public_tokenizers.path("byte_bpe_50k.json"))
     assert not words.by_word
