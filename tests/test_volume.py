@@ -2,6 +2,7 @@
 
 import glob
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import CALENDAR, COMPANIES, feeds, source_frames
@@ -65,6 +66,20 @@ def test_stored_orders_are_not_copied(spark, warehouse):
     assert copies() == before + 1
 
 
+def test_orders_of_a_fixed_feed_are_not_copied(spark, warehouse):
+    frames = source_frames(spark)
+    feed, tables = feeds(frames)[0], warehouse.tables()
+    raw = feed.extract_orders(feed.reader, None)
+    copies = lambda: len(glob.glob(f"{scratch_dir(spark)}/orders-*".removeprefix("file:")))
+    before = copies()
+    kept = conform_orders([replace(feed, fixed=True)], [raw], tables).drop("source_row").collect()
+    assert copies() == before
+    assert sorted(map(str, conform_orders([feed], [raw], tables).drop("source_row").collect())) == sorted(map(str, kept))
+    mart = testmart.Mart.__new__(testmart.Mart)
+    mart.spark, mart.sources_root = spark, ""
+    assert all(f.fixed for f in mart.feeds)
+
+
 def test_lines_of_many_tasks(spark, tmp_path):
     """Every task writes a file of its own that begins with the names of the columns."""
     layout = {"t": schemas.T.StructType([schemas.T.StructField("a", schemas.LONG), schemas.T.StructField("b", schemas.TEXT)])}
