@@ -27,9 +27,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -190,7 +192,9 @@ class Shard:
 
 _tokenizers: dict[str, "Words"] = {}
 #: Words that a worker remembers, the first it meets; others are encoded each time.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
+#: Bytes of text whose distinct words are looked up at once.
+LOOKED_UP = 1 << 22
 _JOINED = 500
 
 
@@ -198,7 +202,8 @@ class Words:
     """Ids of words and texts from one tokenizer file, four bytes each.
 
     For a vocabulary that drops white space and joins nothing across it, texts are cut at
-    spaces and line ends and each distinct word is encoded once. New words are encoded
+    spaces and line ends and each distinct word of a call is looked up once
+    and encoded unless it is remembered. New words are encoded
     many at a time with ``MARK``, a word of one id, between them. Texts that hold the
     opening of a special token are encoded whole, and so is every text if the vocabulary
     is of another kind.
@@ -259,20 +264,41 @@ class Words:
                 found[word] = (found.get(first) or known[first]) + (found.get(rest) or known[rest])
         return found
 
-    def id_bytes(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        cut = [t.replace("\n", " ").split(" ") if self.by_word and "<|" not in t else None for t in texts]
+    def _known_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; new ones are remembered while there is room."""
         known = self.known
-        fresh = self._encode(list({w for words in cut if words for w in words} - known.keys()))
-        known.update(fresh)
-        found = [self._ids(t).tobytes() if words is None else b"".join(map(known.__getitem__, words))
-                 for t, words in zip(texts, cut)]
-        room = REMEMBERED - len(known) + len(fresh)
-        short = [w for w in fresh if len(w) < 64]
-        for word in fresh.keys() - set(short[:max(room, 0)]):
-            del known[word]
+        fresh = self._encode([w for w in words if w not in known])
+        found = [ids if (ids := known.get(w)) is not None else fresh[w] for w in words]
+        room = REMEMBERED - len(known)
+        if room > 0:
+            known.update(islice(((w, ids) for w, ids in fresh.items() if len(w) < 64), room))
         return found
 
+    def _cut_ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts cut at spaces and line ends: words are numbered by Arrow, so each
+        distinct one is looked up once, and numpy puts their ids in place."""
+        data = b" ".join([*texts, b""]).replace(b"\n", b" ")
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord(" ")) + 1
+        offsets = np.concatenate(([0], ends))
+        words = pa.Array.from_buffers(  # each with the space behind it
+            pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        place = words.indices.to_numpy()
+        given = self._known_ids(pc.binary_slice(words.dictionary, 0, -1).cast(pa.large_string()).to_pylist())
+        sizes = np.fromiter(map(len, given), np.int64, len(given)) >> 2
+        per_word, after = sizes[place], np.zeros(len(ends) + 1, np.int64)
+        np.cumsum(per_word, out=after[1:])
+        steps = (np.cumsum(sizes) - sizes)[place] - after[:-1]
+        ids = np.frombuffer(b"".join(given), "<u4")[np.repeat(steps, per_word) + np.arange(after[-1])]
+        last = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in texts]), "right")  # words up to each text's end
+        cuts = after[[0, *last.tolist()]].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def id_bytes(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        cut = [self.by_word and "<|" not in t for t in texts]
+        found = iter(self._cut_ids([t.encode() for t, by_word in zip(texts, cut) if by_word]) if any(cut) else [])
+        return [next(found) if by_word else self._ids(t).tobytes() for t, by_word in zip(texts, cut)]
+
 
 def words_of(path: str) -> Words:
     """The tokenizer of a file in this worker."""
@@ -309,7 +335,7 @@ def tokens(documents: DataFrame, tokenizer_path: str, end_id: int = END_ID, rang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end, row = np.uint32(end_id).tobytes(), TaskContext.get().partitionId() << 40
-        for block in blocks.blocks(batches):
+        for block in blocks.blocks(batches, limit=LOOKED_UP):
             texts = [t or "" for t in block.column("text").to_pylist()]
             counts, packed = [], []
             for given in words_of(tokenizer_path).id_bytes(texts):
@@ -345,6 +371,7 @@ def write_shards(documents: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, total, held, doc_ids, lengths = None, 0, 0, [], [], []
+        _tokenizers.clear()  # the worker may hold words of the stage before
 
         def close() -> pa.RecordBatch:
             starts = np.concatenate(([0], np.cumsum(lengths)))

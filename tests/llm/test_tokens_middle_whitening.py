@@ -71,6 +71,18 @@ def test_words_have_the_tokenizer_s_ids(texts):
     assert words.id_bytes(texts) == wanted
 
 
+def test_a_worker_holds_few_words_and_looks_each_up_once_a_call(monkeypatch):
+    words = patched_blocks.Words(TOKENIZER)
+    asked = []
+    monkeypatch.setattr(words, "_encode", lambda new: asked.append(sorted(new)) or {w: words._ids(w).tobytes() for w in new})
+    texts = ["a b,\na", "", "<|a b", "b, c"]
+    assert words.id_bytes(texts) == words.id_bytes(texts) == [words._ids(t).tobytes() for t in texts]
+    assert asked == [["", "a", "b,", "c"], []]
+    monkeypatch.setattr(words, "_encode", lambda new: dict.fromkeys(new, b"\1\0\0\0"))
+    words.id_bytes([" ".join(map(str, range(600_000)))])
+    assert len(words.known) <= 500_000
+
+
 def test_remembered_words_are_bounded(monkeypatch):
     monkeypatch.setattr(patched_blocks, "REMEMBERED", 3)
     words = patched_blocks.Words(TOKENIZER)
