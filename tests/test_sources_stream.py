@@ -12,6 +12,7 @@ from tallyloom.runtime import materialize, scratch_dir
 from tallyloom.sources import results
 from tallyloom.sources.mappings import read_catalog, read_city_map
 from tallyloom.sources.operational import csv_reader, jdbc_reader, parquet_reader, read_source_a, read_source_b
+from tallyloom.streaming import incremental
 from tallyloom.streaming.incremental import Landing, OrderStream, load_micro_batch, stream_orders
 
 
@@ -191,6 +192,26 @@ def test_only_keys_of_other_loads_are_fed_and_each_once(spark, streaming, city_m
     assert state  # what the RocksDB store keeps
 
 
+def test_each_key_is_looked_up_once_in_the_state(spark, streaming, tmp_path, monkeypatch):
+    """Also in a store that was begun with the settings of before; the session keeps its own."""
+    land, run, feed, warehouse = streaming
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    land(order("a"), order("b", quantity=2))
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "STATE_STORE", {setting: incremental.STATE_STORE[setting]})
+        assert run() == [("a", 1), ("b", 2)]
+    land(order("a", quantity=9), order("c"), order("d"))
+    stream = OrderStream(warehouse, [Landing(feed, schemas.LAYOUT_A["orders"], str(tmp_path / "landing"))],
+                         str(tmp_path / "checkpoint"), "orders-a", 1)
+    query = stream.start()
+    query.awaitTermination()
+    states = [s for p in query.recentProgress if p["numInputRows"] for s in p["stateOperators"]]
+    assert sum(s["customMetrics"]["rocksdbGetCount"] for s in states) == 3
+    assert run() == [("a", 1), ("b", 2), ("c", 1), ("d", 1)]
+    assert spark.conf.get(setting) == before
+
+
 def test_two_sources_in_one_stream(spark, warehouse, city_maps, catalogs, tmp_path):
     frames = source_frames(spark)
     run_batch(warehouse, feeds(source_frames(spark, orders=[], transactions=[])), city_maps, catalogs, "full")
