@@ -1,13 +1,16 @@
 """What a load leaves on disk: no shuffle files of ended writes, no scratch tables."""
 
 import glob
+import os
 import time
+from dataclasses import replace
+from types import SimpleNamespace
 
 from conftest import feeds, rows, source_frames
 from pyspark.sql import functions as F
 
 from tallyloom import runtime
-from tallyloom.plans import batch, testmart
+from tallyloom.plans import batch, catalog, testmart
 from tallyloom.plans.batch import run_batch
 from tallyloom.runtime import materialize, materialize_buckets, released_shuffles, scratch_dir, scratch_scope
 
@@ -30,6 +33,12 @@ def scratch(spark, name="*"):
     return set(glob.glob(f"{scratch_dir(spark)}/{name}".removeprefix("file:")))
 
 
+def small_mart(spark, warehouse, city_maps, catalogs):
+    fixed = [replace(f, fixed=True) for f in feeds(source_frames(spark))]
+    run_batch(warehouse, fixed, city_maps, catalogs, "full", batch_id="one")
+    return SimpleNamespace(spark=spark, feeds=fixed, tables=warehouse.tables(), city_maps=city_maps, catalogs=catalogs)
+
+
 def test_shuffles_end_with_the_write_they_serve(spark):
     grouped = spark.range(0, 1000, numPartitions=4).groupBy(F.col("id") % 7).agg(F.count("*").alias("n"))
     before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
@@ -67,6 +76,17 @@ def test_a_load_leaves_no_scratch_and_no_shuffles(spark, warehouse, city_maps, c
     assert warehouse.tables()["fact_sales"].count() == 3 and warehouse.errors().count() == 0
 
 
+def test_orders_are_conformed_feed_by_feed(spark, warehouse, city_maps, catalogs):
+    """What a query keeps of them is stored, and nothing else."""
+    m, before = small_mart(spark, warehouse, city_maps, catalogs), scratch(spark)
+    kept = catalog.conformed_sales(m, lambda judged: judged.select("source_order_id", "quantity"))
+    assert rows(kept) == [("o1", 2), ("o2", 1), ("t1", 3)]
+    stored = scratch(spark) - before
+    assert len(stored) == 2 and all(os.path.basename(s).startswith("sales-") for s in stored)
+    assert all(spark.read.parquet(s).columns == ["source_order_id", "quantity"] for s in stored)
+    assert catalog.conformed_sales(m).count() == 3
+
+
 def test_sources_leave_no_joined_lines(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(testmart, "project_sources", lambda s, d: {"orders": materialize(s.range(5).repartition(2), "lines")})
     monkeypatch.setattr(testmart, "city_maps", lambda s, d: {})
